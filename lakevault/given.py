@@ -6,10 +6,11 @@ a negative id on the parent side, they are not left out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
-from functools import cached_property
+from functools import cached_property, partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakevault.functions import pseudonym
@@ -17,7 +18,7 @@ from lakevault.operators.ingest import FILE_ORDER
 from lakevault.operators.rules import pass_rate
 from lakevault.plans import Tables
 from lakevault.plans.rulebook import ASSERTED_ACTIVITY_TYPES
-from lakevault.schemas import SPECS
+from lakevault.schemas import BY_TABLE, SPECS
 
 LOAD_TS = datetime(2024, 1, 1, 5, 0, 0)
 SECOND_LOAD_TS = datetime(2024, 1, 2, 5, 0, 0)
@@ -31,14 +32,24 @@ BASELINE_BEFORE = "2024-01-16"
 FIRST_YEAR, YEARS, TERMS, MODULES = 1995, 7, 3, 5
 ENROLMENT = ["id_student", "code_module", "code_presentation"]
 
+REGISTERED = [
+    "cast(date_diff(order_day, pres_start) - 100 as bigint) as date_registration",
+    "case o_orderstatus when 'F' then"
+    " cast(date_diff(order_day, pres_start) - 100 + o_orderkey % 90 as double)"
+    " when 'P' then 0D end as date_unregistration",
+]
+LINE_DAY = "abs(date_diff(to_date(l_shipdate), pres_start)) % 300"
+
 
 class Given:
     """Lazy frames over one folder of supplied parquet tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, orders_before: str | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, orders_before: str | None = None,
+                 orders_from: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.orders_before = orders_before
+        self.orders_from = orders_from
 
     def parquet(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -48,85 +59,73 @@ class Given:
         """One enrolment row per order: student, offering and its start day."""
         orders = self.parquet("orders")
         if self.orders_before:
-            orders = orders.filter(F.col("o_orderdate") < F.lit(self.orders_before).cast("date"))
-        day = F.to_date("o_orderdate")
-        term = F.floor((F.month(day) - 1) / 4).cast("int")
-        module = F.substring("o_orderpriority", 1, 1)
-        letter = F.element_at(F.array(*map(F.lit, "BJK")), term + 1)
-        return orders.select(
-            F.col("o_custkey").alias("id_student"),
-            F.concat(F.lit("M"), module).alias("code_module"),
-            F.concat(F.year(day).cast("string"), letter).alias("code_presentation"),
-            (module.cast("bigint") * 100 + (F.year(day) - FIRST_YEAR) * TERMS + term)
-            .alias("offering_no"),
-            F.make_date(F.year(day), term * 4 + 1, F.lit(1)).alias("pres_start"),
-            day.alias("order_day"), "o_orderkey", "o_orderstatus",
+            orders = orders.filter(f"o_orderdate < date '{self.orders_before}'")
+        if self.orders_from:
+            orders = orders.filter(f"o_orderdate >= date '{self.orders_from}'")
+        return orders.selectExpr(
+            "o_orderkey", "o_custkey", "o_orderstatus", "to_date(o_orderdate) as order_day",
+            "left(o_orderpriority, 1) as module", "(month(o_orderdate) - 1) div 4 as term",
+        ).selectExpr(
+            "o_custkey as id_student",
+            "concat('M', module) as code_module",
+            "concat(year(order_day), substr('BJK', cast(term as int) + 1, 1)) as code_presentation",
+            f"cast(module as bigint) * 100 + (year(order_day) - {FIRST_YEAR}) * {TERMS} + term"
+            " as offering_no",
+            "make_date(year(order_day), cast(term as int) * 4 + 1, 1) as pres_start",
+            "order_day", "o_orderkey", "o_orderstatus",
         )
 
     def _lineage(self, df: DataFrame, source: str) -> DataFrame:
-        return df.select(*SPECS[source].columns, F.lit(LOAD_TS).cast("timestamp").alias(
-            "_ingested_at"), F.lit(f"{source}.csv").alias("_source_file"))
+        return df.selectExpr(*SPECS[source].columns, f"timestamp'{LOAD_TS}' as _ingested_at",
+                             f"'{source}.csv' as _source_file")
 
     @cached_property
     def courses(self) -> DataFrame:
-        length = F.when(F.col("offering_no") % 37 == 0, 0).otherwise(
-            200 + F.col("offering_no") % 70)
-        return self._lineage(self.off.select(
-            "code_module", "code_presentation", length.cast("bigint").alias("length"),
+        return self._lineage(self.off.selectExpr(
+            "code_module", "code_presentation",
+            "cast(if(offering_no % 37 = 0, 0, 200 + offering_no % 70) as bigint) as length",
         ).distinct(), "courses")
 
-    @property
-    def _registered(self) -> list[Column]:
-        day = F.date_diff("order_day", "pres_start").cast("bigint") - 100
-        gone = F.when(F.col("o_orderstatus") == "F", (day + F.col("o_orderkey") % 90).cast("double"))
-        return [day.alias("date_registration"),
-                gone.when(F.col("o_orderstatus") == "P", 0.0).alias("date_unregistration")]
-
     @cached_property
     def registration_dup(self) -> DataFrame:
         """Every order as a registration, with repeated keys."""
-        return self.off.select(*ENROLMENT, *self._registered, "o_orderkey")
+        return self.off.selectExpr(*ENROLMENT, *REGISTERED, "o_orderkey")
 
     @cached_property
     def _first_orders(self) -> DataFrame:
         """The order with the lowest number per enrolment."""
-        row = F.struct("order_day", "pres_start", "o_orderstatus")
+        row = "struct(order_day, pres_start, o_orderstatus)"
         return self.off.groupBy(*ENROLMENT).agg(
             F.min("o_orderkey").alias("o_orderkey"),
-            F.min_by(row, "o_orderkey").alias("row"),
+            F.expr(f"min_by({row}, o_orderkey)").alias("row"),
         ).select(*ENROLMENT, "o_orderkey", "row.*")
 
     @cached_property
     def student_registration(self) -> DataFrame:
         return self._lineage(
-            self._first_orders.select(*ENROLMENT, *self._registered), "studentRegistration")
+            self._first_orders.selectExpr(*ENROLMENT, *REGISTERED), "studentRegistration")
 
     @cached_property
     def student_info_named(self) -> DataFrame:
         """Demographics with the personal fields in clear text."""
-        order, balance = F.col("o_orderkey"), F.col("c_acctbal")
-        lost = (order % 53 == 0) | (F.col("id_student") % 211 == 0)
-        result = (
-            F.when(order % 97 == 0, "Deferred")
-            .when(F.col("o_orderstatus") == "F", "Withdrawn")
-            .when(F.col("o_orderstatus") == "P", "Fail")
-            .when(order % 5 == 0, "Distinction").otherwise("Pass")
-        )
         people = self.parquet("customer").join(
             self.parquet("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        return self._first_orders.join(people, F.col("id_student") == F.col("c_custkey")).select(
+        return self._first_orders.join(people, F.col("id_student") == F.col("c_custkey")).selectExpr(
             "code_module", "code_presentation",
-            F.when(lost, -F.col("id_student")).otherwise(F.col("id_student")).alias("id_student"),
-            F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("gender"),
-            F.col("n_name").alias("region"),
-            F.concat(F.lit("L"), F.col("n_regionkey").cast("string")).alias("highest_education"),
-            F.when(balance < 0, "?").otherwise(F.col("c_mktsegment")).alias("imd_band"),
-            F.when(balance < 3000, "0-35").when(balance < 7000, "35-55").otherwise("55<=")
-            .alias("age_band"),
-            (order % 4).alias("num_of_prev_attempts"),
-            (30 * (1 + F.col("c_nationkey") % 6)).cast("bigint").alias("studied_credits"),
-            F.when(F.col("c_custkey") % 10 == 0, "Y").otherwise("N").alias("disability"),
-            result.alias("final_result"),
+            "if(o_orderkey % 53 = 0 or id_student % 211 = 0, -id_student, id_student)"
+            " as id_student",
+            "if(c_custkey % 2 = 0, 'F', 'M') as gender",
+            "n_name as region",
+            "concat('L', n_regionkey) as highest_education",
+            "if(c_acctbal < 0, '?', c_mktsegment) as imd_band",
+            "case when c_acctbal < 3000 then '0-35' when c_acctbal < 7000 then '35-55'"
+            " else '55<=' end as age_band",
+            "o_orderkey % 4 as num_of_prev_attempts",
+            "cast(30 * (1 + c_nationkey % 6) as bigint) as studied_credits",
+            "if(c_custkey % 10 = 0, 'Y', 'N') as disability",
+            "case when o_orderkey % 97 = 0 then 'Deferred'"
+            " when o_orderstatus = 'F' then 'Withdrawn' when o_orderstatus = 'P' then 'Fail'"
+            " when o_orderkey % 5 = 0 then 'Distinction' else 'Pass' end as final_result",
         )
 
     @cached_property
@@ -136,40 +135,35 @@ class Given:
 
     @cached_property
     def assessments(self) -> DataFrame:
-        key, size = F.col("p_partkey"), F.col("p_size")
-        kind = F.col("p_type")
-        letter = F.element_at(F.array(*map(F.lit, "BJK")), (size % 3 + 1).cast("int"))
-        return self._lineage(self.parquet("part").select(
-            F.concat(F.lit("M"), (key % MODULES + 1).cast("string")).alias("code_module"),
-            F.concat((FIRST_YEAR + key % YEARS).cast("string"), letter).alias("code_presentation"),
-            F.when(key % 41 == 0, -key).otherwise(key).alias("id_assessment"),
-            F.when(kind.isin("ECONOMY", "SMALL"), "TMA").when(kind.isin("MEDIUM", "STANDARD"), "CMA")
-            .when(kind == "LARGE", "Exam").otherwise("Quiz").alias("assessment_type"),
-            (size * 5).cast("bigint").alias("date"),
-            (size * F.lit(2.5)).alias("weight"),
+        return self._lineage(self.parquet("part").selectExpr(
+            f"concat('M', p_partkey % {MODULES} + 1) as code_module",
+            f"concat({FIRST_YEAR} + p_partkey % {YEARS},"
+            " substr('BJK', cast(p_size % 3 + 1 as int), 1)) as code_presentation",
+            "if(p_partkey % 41 = 0, -p_partkey, p_partkey) as id_assessment",
+            "case when p_type in ('ECONOMY', 'SMALL') then 'TMA'"
+            " when p_type in ('MEDIUM', 'STANDARD') then 'CMA'"
+            " when p_type = 'LARGE' then 'Exam' else 'Quiz' end as assessment_type",
+            "cast(p_size * 5 as bigint) as date",
+            "p_size * 2.5D as weight",
         ), "assessments")
 
     @cached_property
     def vle(self) -> DataFrame:
         """One site per supplier and offering of the calendar (a fixed grid, generated per row)."""
-        types = F.array(*map(F.lit, [*ASSERTED_ACTIVITY_TYPES, "mystery"]))
-        sites = self.parquet("supplier").select(
-            "s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(MODULES * YEARS * TERMS - 1)))
-            .alias("slot"))
-        supplier, slot = F.col("s_suppkey"), F.col("slot")
-        module = F.floor(slot / (YEARS * TERMS)) + 1
-        year, term = F.floor(slot / TERMS) % YEARS, slot % TERMS
-        site = supplier * 1000 + module * 100 + year * TERMS + term
-        week = F.when(supplier % 4 != 0, supplier % 30)
-        return self._lineage(sites.select(
-            F.when(supplier % 29 == 0, -site).otherwise(site).alias("id_site"),
-            F.concat(F.lit("M"), module.cast("string")).alias("code_module"),
-            F.concat((FIRST_YEAR + year).cast("string"),
-                     F.element_at(F.array(*map(F.lit, "BJK")), (term + 1).cast("int")))
-            .alias("code_presentation"),
-            F.element_at(types, (supplier % len([*ASSERTED_ACTIVITY_TYPES, ""]) + 1).cast("int"))
-            .alias("activity_type"),
-            week.alias("week_from"), (week + 1).alias("week_to"),
+        types = ", ".join(f"'{t}'" for t in [*ASSERTED_ACTIVITY_TYPES, "mystery"])
+        per_module = YEARS * TERMS
+        site = (f"(s_suppkey * 1000 + (slot div {per_module} + 1) * 100 + slot % {per_module})")
+        return self._lineage(self.parquet("supplier").selectExpr(
+            "s_suppkey", f"explode(sequence(0, {MODULES * per_module - 1})) as slot",
+        ).selectExpr(
+            f"if(s_suppkey % 29 = 0, -{site}, {site}) as id_site",
+            f"concat('M', slot div {per_module} + 1) as code_module",
+            f"concat({FIRST_YEAR} + slot % {per_module} div {TERMS},"
+            f" substr('BJK', cast(slot % {TERMS} + 1 as int), 1)) as code_presentation",
+            f"element_at(array({types}), cast(s_suppkey % {len(ASSERTED_ACTIVITY_TYPES) + 1} + 1"
+            " as int)) as activity_type",
+            "if(s_suppkey % 4 <> 0, s_suppkey % 30, null) as week_from",
+            "if(s_suppkey % 4 <> 0, s_suppkey % 30 + 1, null) as week_to",
         ), "vle")
 
     @cached_property
@@ -177,61 +171,47 @@ class Given:
         return self.parquet("lineitem").join(
             self.off, F.col("l_orderkey") == F.col("o_orderkey"))
 
-    def _line_day(self, shift: int) -> Column:
-        gap = F.abs(F.date_diff(F.to_date("l_shipdate"), "pres_start"))
-        return (gap % 300 - shift).cast("bigint")
-
     @cached_property
     def student_assessment_dup(self) -> DataFrame:
         """Every order line as a submission, with repeated keys; ``line`` is the row order."""
-        line = F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
-        return self._lines.select(
-            F.col("l_partkey").alias("id_assessment"), "id_student",
-            self._line_day(20).alias("date_submitted"),
-            F.when(F.col("l_returnflag") == "R", 1).otherwise(0).cast("bigint").alias("is_banked"),
-            F.when(F.col("l_linenumber") != 7, F.col("l_quantity") * 2.1).alias("score"),
-            line.alias("line"),
+        return self._lines.selectExpr(
+            "l_partkey as id_assessment", "id_student",
+            f"cast({LINE_DAY} - 20 as bigint) as date_submitted",
+            "if(l_returnflag = 'R', 1L, 0L) as is_banked",
+            "if(l_linenumber <> 7, l_quantity * 2.1D, null) as score",
+            "struct(l_orderkey, l_linenumber, l_suppkey, l_extendedprice) as line",
         )
 
     @cached_property
     def student_assessment(self) -> DataFrame:
         """The first submission per assessment and student."""
-        row = F.struct("date_submitted", "is_banked", "score")
         first = self.student_assessment_dup.groupBy("id_assessment", "id_student").agg(
-            F.min_by(row, "line").alias("row"))
+            F.expr("min_by(struct(date_submitted, is_banked, score), line)").alias("row"))
         return self._lineage(first.select("id_assessment", "id_student", "row.*"),
                              "studentAssessment")
 
     @cached_property
     def clicks_in_order(self) -> DataFrame:
         """Order lines as clicks, some of them twice, with the order number as row order."""
-        copies = F.when(F.col("l_orderkey") % 250 == 0, 2).otherwise(1)
-        burst = (F.col("l_orderkey") % 500 == 0) & (F.col("l_linenumber") == 1)
-        clicks = (
-            F.when(burst, F.col("l_quantity") * 150)
-            .when(F.col("l_orderkey") % 701 == 0, -1).otherwise(F.col("l_quantity"))
-        )
-        return self._lines.select(
-            "*", F.explode(F.sequence(F.lit(1), copies)).alias("copy")
-        ).select(
+        return self._lines.selectExpr(
+            "*", "explode(sequence(1, if(l_orderkey % 250 = 0, 2, 1))) as copy",
+        ).selectExpr(
             "code_module", "code_presentation", "id_student",
-            (F.col("l_suppkey") * 1000 + F.col("offering_no")).alias("id_site"),
-            self._line_day(30).alias("date"), clicks.cast("bigint").alias("sum_click"),
-            F.col("l_orderkey").alias("line"),
+            "l_suppkey * 1000 + offering_no as id_site",
+            f"cast({LINE_DAY} - 30 as bigint) as date",
+            "cast(case when l_orderkey % 500 = 0 and l_linenumber = 1 then l_quantity * 150"
+            " when l_orderkey % 701 = 0 then -1 else l_quantity end as bigint) as sum_click",
+            "l_orderkey as line",
         )
 
     @cached_property
     def student_vle(self) -> DataFrame:
         return self._lineage(self.clicks_in_order, "studentVle")
 
-    @cached_property
-    def base(self) -> dict[str, DataFrame]:
-        """The seven bronze tables."""
-        return {
-            "courses": self.courses, "assessments": self.assessments, "vle": self.vle,
-            "student_info": self.student_info, "student_registration": self.student_registration,
-            "student_assessment": self.student_assessment, "student_vle": self.student_vle,
-        }
+    @property
+    def base(self) -> dict[str, Callable[[], DataFrame]]:
+        """The seven bronze tables by name, each built when it is asked for."""
+        return {name: partial(getattr, self, name) for name in BY_TABLE}
 
     def tables(self, load_ts: datetime = LOAD_TS, all_versions: bool = False) -> Tables:
         return Tables(self.base, load_ts, all_versions)
@@ -287,13 +267,14 @@ class Given:
         return events.filter(cut), events.filter(~cut)
 
 
-def second_load(full: Given) -> dict[str, DataFrame]:
+def second_load(full: Given) -> dict[str, Callable[[], DataFrame]]:
     """Base tables of the second load: all orders, some weights and bands changed."""
-    weight = F.when(F.col("id_assessment") % 10 == 0, F.col("weight") + 1).otherwise(
-        F.col("weight"))
-    band = F.when(F.col("id_student") % 10 == 0, pseudonym(F.lit("changed"))).otherwise(
-        F.col("imd_band"))
-    return full.base | {
-        "assessments": full.assessments.withColumn("weight", weight),
-        "student_info": full.student_info.withColumn("imd_band", band),
-    }
+    def assessments() -> DataFrame:
+        return full.assessments.withColumn(
+            "weight", F.expr("if(id_assessment % 10 = 0, weight + 1, weight)"))
+
+    def student_info() -> DataFrame:
+        changed = F.when(F.col("id_student") % 10 == 0, pseudonym(F.lit("changed")))
+        return full.student_info.withColumn("imd_band", changed.otherwise(F.col("imd_band")))
+
+    return full.base | {"assessments": assessments, "student_info": student_info}

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakevault.functions import one_decimal
+from lakevault.operators.quantiles import exact_quantiles
 
 # Default thresholds.
 DAILY_MAX = 5000
@@ -61,10 +62,10 @@ def click_anomalies(df: DataFrame, detected_at: datetime, daily_max: int | None
     daily_max = daily_max or limits.get("daily_max", DAILY_MAX)
     z_limit = z_limit or limits.get("z_score", Z_LIMIT)
     clicks = F.coalesce("sum_click", F.lit(0))
-    stats = df.agg(F.avg(clicks).alias("m"), F.stddev_pop(clicks).alias("s")).select(
-        F.struct("m", "s")).scalar()
-    return _flag_clicks(df.withColumn("_z", _z(clicks, stats["m"], stats["s"])),
-                        daily_max, z_limit, detected_at)
+    stats = df.agg(F.avg(clicks).alias("m"), F.stddev_pop(clicks).alias("s"))
+    scored = df.withColumn("_stats", stats.select(F.struct("m", "s")).scalar()).withColumn(
+        "_z", _z(clicks, F.col("_stats.m"), F.col("_stats.s"))).drop("_stats")
+    return _flag_clicks(scored, daily_max, z_limit, detected_at)
 
 
 def click_anomalies_per_course(df: DataFrame, detected_at: datetime, daily_max: int = DAILY_MAX,
@@ -83,19 +84,6 @@ def click_anomalies_per_course(df: DataFrame, detected_at: datetime, daily_max:
     return _flag_clicks(scored.select(*df.columns, "_z"), daily_max, z_limit, detected_at)
 
 
-def quartiles(df: DataFrame, column: str) -> Column:
-    """Scalar struct ``(q1, q3)`` of exact, linearly interpolated quartiles.
-
-    Equal values are counted before the percentile step, so what reaches its final task is one
-    entry per distinct value: marks on a bounded scale, whatever the number of submissions.
-    """
-    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(
-        F.count(F.lit(1)).alias("n"))
-    return counts.agg(
-        F.percentile("v", 0.25, "n").alias("q1"), F.percentile("v", 0.75, "n").alias("q3"),
-    ).select(F.struct("q1", "q3")).scalar()
-
-
 def score_anomalies(df: DataFrame, detected_at: datetime, z_limit: float | None = None,
                     iqr_factor: float | None = None, config: Mapping | None = None) -> DataFrame:
     """Scores beyond the z limit or outside the quartile fences; the z reason comes first.
@@ -109,13 +97,15 @@ def score_anomalies(df: DataFrame, detected_at: datetime, z_limit: float | None
     z_limit = z_limit or limits.get("z_score", Z_LIMIT)
     iqr_factor = iqr_factor or limits.get("iqr_multiplier", IQR_FACTOR)
     filled = F.coalesce("score", F.lit(0.0))
-    stats = df.agg(F.avg(filled).alias("m"), F.stddev_pop(filled).alias("s")).select(
-        F.struct("m", "s")).scalar()
-    q = quartiles(df, "score")
-    spread = (q["q3"] - q["q1"]) * iqr_factor
+    stats = df.agg(F.avg(filled).alias("m"), F.stddev_pop(filled).alias("s"))
     scored = df.withColumns({
-        "_z": _z(filled, stats["m"], stats["s"]),
-        "_low": q["q1"] - spread, "_high": q["q3"] + spread,
+        "_stats": stats.select(F.struct("m", "s")).scalar(),
+        "_q": exact_quantiles(df, "score", [0.25, 0.75]),
+    })
+    spread = (F.col("_q.q1") - F.col("_q.q0")) * iqr_factor
+    scored = scored.withColumns({
+        "_z": _z(filled, F.col("_stats.m"), F.col("_stats.s")),
+        "_low": F.col("_q.q0") - spread, "_high": F.col("_q.q1") + spread,
     })
     by_z = F.col("_z") > z_limit
     above, below = F.col("score") > F.col("_high"), F.col("score") < F.col("_low")
@@ -126,7 +116,8 @@ def score_anomalies(df: DataFrame, detected_at: datetime, z_limit: float | None
     )
     return scored.withColumns({
         "anomaly_reason": reason, "detected_at": F.lit(detected_at).cast("timestamp"),
-    }).filter("anomaly_reason is not null").drop("_z", "_low", "_high")
+    }).filter("anomaly_reason is not null").drop(
+        "_stats", "_q", "_z", "_low", "_high")
 
 
 def vle_before_registration(clicks: DataFrame, registrations: DataFrame) -> DataFrame:

@@ -45,12 +45,14 @@ def model(layer: str, kind: str = "table", key: tuple[str, ...] = (),
 class Tables:
     """Frames by name: given ones are returned as they are, models are built on first use.
 
+    A given frame may also be a function that makes it, called when the frame is first used.
+
     ``load_ts`` stamps vault rows. ``all_versions=True`` lets business views join every satellite
     version instead of the latest one (sums then multiply after a second load).
     """
 
-    def __init__(self, frames: Mapping[str, DataFrame], load_ts: datetime,
-                 all_versions: bool = False):
+    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                 load_ts: datetime, all_versions: bool = False):
         self._frames = dict(frames)
         self.load_ts = load_ts
         self.all_versions = all_versions
@@ -60,9 +62,11 @@ class Tables:
             if name not in MODELS:
                 raise KeyError(f"no table or model named {name!r}")
             self._frames[name] = MODELS[name].build(self)
+        elif not isinstance(self._frames[name], DataFrame):
+            self._frames[name] = self._frames[name]()
         return self._frames[name]
 
-    def with_frames(self, frames: Mapping[str, DataFrame], **changes) -> Tables:
+    def with_frames(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]], **changes) -> Tables:
         """Copy in which the given frames replace models or tables; the rest is rebuilt."""
         base = {k: v for k, v in self._frames.items() if k not in MODELS}
         return Tables({**base, **frames}, changes.get("load_ts", self.load_ts),
