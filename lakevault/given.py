@@ -12,6 +12,7 @@ from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakevault.functions import pseudonym
 from lakevault.operators.ingest import FILE_ORDER
@@ -38,6 +39,9 @@ REGISTERED = [
     " cast(date_diff(order_day, pres_start) - 100 + o_orderkey % 90 as double)"
     " when 'P' then 0D end as date_unregistration",
 ]
+# Schemas of the supplied files by path.
+_SCHEMAS: dict[str, StructType] = {}
+
 LINE_DAY = "abs(date_diff(to_date(l_shipdate), pres_start)) % 300"
 
 
@@ -52,7 +56,11 @@ class Given:
         self.orders_from = orders_from
 
     def parquet(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A supplied table; its schema is looked up once per process, later reads name it."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def off(self) -> DataFrame:
