@@ -648,7 +648,7 @@ FROM fact_engagement_summary JOIN dim_student USING ({ENROLMENT})
 WHERE final_result IN ('Withdrawn', 'Pass') GROUP BY ALL""")
 add("at_risk_trajectory", """
 SELECT id_student, id_assessment, date_submitted, score,
-  CAST(row_number() OVER w AS INTEGER) AS attempt_no, score - lag(score) OVER w AS score_change
+  row_number() OVER w AS attempt_no, score - lag(score) OVER w AS score_change
 FROM fact_student_assessment WHERE score IS NOT NULL
 WINDOW w AS (PARTITION BY id_student ORDER BY date_submitted, id_assessment)""")
 add("at_risk_drop_off", f"""

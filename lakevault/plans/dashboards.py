@@ -112,17 +112,36 @@ def weekly_clicks_by_result(t: Tables) -> DataFrame:
 def score_trajectory(t: Tables) -> DataFrame:
     """Scores of a student in order of submission, with the change against the previous one.
 
-    A student's submissions are bounded by the assessments on offer.
+    Numbered in two steps: within each (student, day), and over the days of a student, so a
+    student holding much of the table is spread over the days instead of sorted in one task.
     """
-    order = Window.partitionBy("id_student").orderBy("date_submitted", "id_assessment")
-    return t["fact_student_assessment"].filter("score is not null").select(
+    scored = t["fact_student_assessment"].filter("score is not null").select(
+        "id_student", "id_assessment", "date_submitted", "score")
+    by_day = Window.partitionBy("id_student", "date_submitted").orderBy("id_assessment")
+    days = scored.groupBy(
+        F.col("id_student").alias("_student"), F.col("date_submitted").alias("_day"),
+    ).agg(F.count(F.lit(1)).alias("_n"), F.max_by("score", "id_assessment").alias("_last"))
+    earlier = Window.partitionBy("_student").orderBy("_day")
+    counted = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(
+        "_student", "_day", F.coalesce(F.sum("_n").over(counted), F.lit(0)).alias("_before"),
+        F.lag("_last").over(earlier).alias("_last"))
+    same = F.col("id_student").eqNullSafe(F.col("_student")) & F.col(
+        "date_submitted").eqNullSafe(F.col("_day"))
+    previous = F.coalesce("_previous", "_last")
+    return scored.withColumns({
+        "_row": F.row_number().over(by_day), "_previous": F.lag("score").over(by_day),
+    }).join(days, same).select(
         "id_student", "id_assessment", "date_submitted", "score",
-        F.row_number().over(order).alias("attempt_no"),
-        (F.col("score") - F.lag("score").over(order)).alias("score_change"))
+        (F.col("_before") + F.col("_row")).alias("attempt_no"),
+        (F.col("score") - previous).alias("score_change"))
 
 
 def interaction_drop_off(t: Tables, share: float = DROP_OFF) -> DataFrame:
-    """Weeks in which an enrolment's clicks fell below a share of its previous active week."""
+    """Weeks in which an enrolment's clicks fell below a share of its previous active week.
+
+    The window runs over the weekly grain: one row per week of an enrolment.
+    """
     order = Window.partitionBy(*ENROLMENT).orderBy("week_number")
     return t["fact_engagement_summary"].select(
         *ENROLMENT, "week_number", "total_clicks",
