@@ -10,38 +10,37 @@ from pyspark.sql import functions as F
 from lakevault.functions import ratio, week_number
 from lakevault.functions.scalars import DAYS_PER_WEEK
 
+# A student with more click rows than this is rolled up on the spread path.
+HOT_ROWS = 10_000_000
+
 
 def rollup(clicks: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str,
-           join_on: Sequence[str], period: str, unique_sites: bool = False) -> DataFrame:
+           join_on: Sequence[str], period: str, unique_sites: bool = False,
+           hot_rows: int = HOT_ROWS) -> DataFrame:
     """Clicks summed per ``by`` columns and period, with distinct site and activity counts.
 
-    Written as two reductions instead of one grouping with three distinct counts, which Spark
-    would run by copying every click row once per distinct column before the shuffle:
+    One grouping with three distinct counts would copy every click row once per distinct column
+    before the shuffle. Instead the clicks first collapse to one row per (group, site), with the
+    days seen as a bit set (a week has only seven), and the site metadata is joined to that
+    smaller frame, which leaves a single distinct count for the second reduction.
 
-    1. clicks collapse to one row per (group, site), with partial aggregation before the shuffle;
-       the days seen are a bit set, a week has only seven of them;
-    2. site metadata is joined to that smaller frame, and the rows are folded per group with a
-       single distinct count (activity types), which Spark spreads over (group, type).
+    Ordinary students are shuffled once, by group, and both reductions run in place there.
+    Students above ``hot_rows`` rows (the first ``by`` column), and rows without a student, take
+    the spread path: partial aggregation, then shuffles by (group, site) and (group, type), so no
+    group meets in one task.
+    At most rows / ``hot_rows`` students can be that hot, which bounds the broadcast list.
 
-    No step gathers a group in one task, so a student or site holding a large share of the clicks
-    is fine. ``sites`` may hold several rows per site (all satellite versions): sums then multiply
-    as in a plain join, while distinct counts do not. ``unique_sites=True`` skips the numbering
-    that guards the site count when the caller knows each site occurs once.
+    ``sites`` may hold several rows per site (all satellite versions): sums then multiply as in a
+    plain join, while distinct counts do not. ``unique_sites=True`` skips the numbering that
+    guards the site count when the caller knows each site occurs once.
     """
     weekly = period == "week_number"
     if not weekly and period != "date":
         raise ValueError(f"period must be 'date' or 'week_number', not {period!r}")
     group = [*by, period]
-    site_cols = list(dict.fromkeys([site_key, *join_on]))
+    per_site_key = list(dict.fromkeys([*group, site_key, *join_on]))
     rows = clicks.withColumn("week_number", week_number(F.col("date"))) if weekly else clicks
-
-    day_bit = F.expr(f"shiftleft(1, cast(pmod(`date`, {DAYS_PER_WEEK}) as int))")
-    per_site = rows.groupBy(*dict.fromkeys([*group, *site_cols])).agg(
-        F.sum("sum_click").alias("_clicks"),
-        F.count("sum_click").alias("_rows"),
-        F.max("sum_click").alias("_max"),
-        F.bit_or(day_bit).alias("_days"),
-    )
+    rows = rows.select(*dict.fromkeys([*per_site_key, "date", "sum_click"]))
 
     meta = sites.select(*join_on, "activity_type")
     if unique_sites:
@@ -49,17 +48,16 @@ def rollup(clicks: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str
     else:
         order = Window.partitionBy(*join_on).orderBy("activity_type")
         meta = meta.withColumn("_copy", F.row_number().over(order))
-    joined = per_site.join(meta, list(join_on), "left")
 
-    first_copy = F.col(site_key).isNotNull() & (F.coalesce(F.col("_copy"), F.lit(1)) == 1)
-    out = joined.groupBy(*group).agg(
-        F.bit_or("_days").alias("_days"),
-        F.sum("_clicks").alias("total_clicks"),
-        F.sum("_rows").alias("_rows"),
-        F.count_if(first_copy).alias("unique_resources"),
-        F.count_distinct("activity_type").alias("unique_activity_types"),
-        F.max("_max").alias("max_daily_clicks"),
-    )
+    student = by[0]
+    hot = clicks.groupBy(student).agg(F.count(F.lit(1)).alias("_n")).filter(
+        F.col("_n") > hot_rows).select(student)
+    together = rows.filter(F.col(student).isNotNull()).join(
+        F.broadcast(hot), student, "left_anti").repartition(*group)
+    spread = rows.join(F.broadcast(hot), student, "left_semi").unionByName(
+        rows.filter(F.col(student).isNull()))
+    out = _reduce(together, meta, group, per_site_key, site_key, join_on).unionByName(
+        _reduce(spread, meta, group, per_site_key, site_key, join_on))
     if not weekly:
         return out.select(*group, "total_clicks", "unique_resources", "unique_activity_types")
     return out.select(
@@ -69,3 +67,24 @@ def rollup(clicks: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str
         ratio(F.col("total_clicks"), F.col("_rows")).alias("avg_daily_clicks"),
         "unique_resources", "unique_activity_types", "max_daily_clicks",
     )
+
+
+def _reduce(rows: DataFrame, meta: DataFrame, group: list[str], per_site_key: list[str],
+            site_key: str, join_on: Sequence[str]) -> DataFrame:
+    """(group, site), then group; shuffles only where the input is not partitioned by group."""
+    day_bit = F.expr(f"shiftleft(1, cast(pmod(`date`, {DAYS_PER_WEEK}) as int))")
+    per_site = rows.groupBy(*per_site_key).agg(
+        F.sum("sum_click").alias("_clicks"),
+        F.count("sum_click").alias("_rows"),
+        F.max("sum_click").alias("_max"),
+        F.bit_or(day_bit).alias("_days"),
+    )
+    first_copy = F.col(site_key).isNotNull() & (F.coalesce(F.col("_copy"), F.lit(1)) == 1)
+    return per_site.join(meta, list(join_on), "left").groupBy(*group).agg(
+        F.bit_or("_days").alias("_days"),
+        F.sum("_clicks").alias("total_clicks"),
+        F.sum("_rows").alias("_rows"),
+        F.count_if(first_copy).alias("unique_resources"),
+        F.count_distinct("activity_type").alias("unique_activity_types"),
+        F.max("_max").alias("max_daily_clicks"),
+    )

@@ -75,8 +75,9 @@ def test_weeks_active_days_and_unknown_site(spark):
     assert week.avg_daily_clicks == 3.0
 
 
+@pytest.mark.parametrize("hot_rows", [0, 6, 10**6])
 @pytest.mark.parametrize("period", ["date", "week_number"])
-def test_rollup_equals_plain_grouping_with_repeated_sites(spark, period):
+def test_rollup_equals_plain_grouping_with_repeated_sites(spark, period, hot_rows):
     """Several rows per site multiply sums, not distinct counts."""
     t = tables(spark, **CLICKS)
     clicks, sites = t["bronze_student_vle"], t["silver_vle"]
@@ -84,7 +85,9 @@ def test_rollup_equals_plain_grouping_with_repeated_sites(spark, period):
         sites.filter("id_site = 1").withColumn("activity_type", F.lit("url")))
     join = ["id_site", "code_module", "code_presentation"]
     by = ["id_student", "code_module", "code_presentation"]
-    got = engagement.rollup(clicks, sites, by, "id_site", join, period)
+    clicks = clicks.unionByName(clicks.withColumn("id_student", F.lit(8)).limit(4)).unionByName(
+        clicks.withColumn("id_student", F.lit(None).cast("long")))
+    got = engagement.rollup(clicks, sites, by, "id_site", join, period, hot_rows=hot_rows)
     plain = clicks.join(sites.select(*join, "activity_type"), join, "left").withColumn(
         "week_number", L.week_number(F.col("date"))).groupBy(*by, period).agg(
         F.sum("sum_click").alias("total_clicks"),
