@@ -50,10 +50,15 @@ def bv_course_offering(t: Tables) -> DataFrame:
 
 
 def _rollup(t: Tables, period: str) -> DataFrame:
-    return engagement.rollup(
-        t["txn_student_vle_click"], _versions(t, "sat_vle_details", "hk_vle"),
-        by=["hk_student", "hk_course_offering"], site_key="hk_vle", join_on=["hk_vle"],
-        period=period, unique_sites=not t.all_versions)
+    """Hash keys travel through the shuffles as 32 bytes instead of 64 hex characters."""
+    group = ["hk_student", "hk_course_offering"]
+    clicks = t["txn_student_vle_click"].select(
+        *[F.unhex(c).alias(c) for c in (*group, "hk_vle")], "date", "sum_click")
+    sites = _versions(t, "sat_vle_details", "hk_vle").select(
+        F.unhex("hk_vle").alias("hk_vle"), "activity_type")
+    out = engagement.rollup(clicks, sites, by=group, site_key="hk_vle", join_on=["hk_vle"],
+                            period=period, unique_sites=not t.all_versions)
+    return out.withColumns({c: F.lower(F.hex(c)) for c in group})
 
 
 @model("bv", non_null=("hk_student", "date"))
