@@ -1,4 +1,4 @@
-"""Incremental loads: keyed upsert, append of unseen versions, latest version, once-per-day guard."""
+"""Incremental loads: keyed upsert, append of unseen versions, latest version, daily guard."""
 
 from __future__ import annotations
 
@@ -18,8 +18,8 @@ def upsert_by_key(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> Da
     it beside the old one before swapping. Both sides are unique per key, so the join is not
     exposed to hot keys.
     """
-    return target.join(batch.select(*key), list(key), "left_anti").select(*target.columns).unionByName(
-        batch.select(*target.columns))
+    kept = target.join(batch.select(*key), list(key), "left_anti")
+    return kept.select(*target.columns).unionByName(batch.select(*target.columns))
 
 
 def new_versions(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,6 @@ from lakevault.oracles.parts import (
     GOLD,
     SILVER,
     TS,
-    TS2,
     VAULT,
     assemble,
     business,
@@ -406,30 +405,30 @@ FROM (SELECT avg(value) FILTER (ts < TIMESTAMP '2024-01-16') AS m,
 
 # --- anomalies and audit -------------------------------------------------------------------
 
-def click_flags(stats: str, join: str, keep: str = "") -> str:
+def click_flags(stats: str) -> str:
     return f"""
-  SELECT c.* {keep},
+  SELECT c.*,
     CASE WHEN sum_click > 5000 THEN 'exceeds_daily_max_5000' ELSE 'z_score_exceeds_3.0' END
       AS anomaly_reason,
     {rnd("CASE WHEN sum_click > 5000 THEN sum_click / 5000.0::DOUBLE "
          "ELSE abs(sum_click - m) / s END", 6)} AS anomaly_score,
     {DETECTED} AS detected_at
-  FROM student_vle c {join} (SELECT {stats}) g
+  FROM student_vle c CROSS JOIN (SELECT {stats}) g
   WHERE sum_click > 5000 OR abs(sum_click - m) / nullif(s, 0) > 3"""
 
 
 CLICK_FLAGS = click_flags(
-    "avg(sum_click) AS m, stddev_pop(sum_click) AS s FROM student_vle", "CROSS JOIN")
+    "avg(sum_click) AS m, stddev_pop(sum_click) AS s FROM student_vle")
 add("click_anomalies", CLICK_FLAGS)
 add("click_anomalies_per_course", f"""
-SELECT c.*,
+SELECT c.* EXCLUDE (z),
   CASE WHEN sum_click > 5000 THEN 'exceeds_daily_max_5000' ELSE 'z_score_exceeds_3.0' END
     AS anomaly_reason,
   {rnd("CASE WHEN sum_click > 5000 THEN sum_click / 5000.0::DOUBLE ELSE z END", 6)}
     AS anomaly_score, {DETECTED} AS detected_at
 FROM (SELECT c.*, abs(sum_click - avg(sum_click) OVER w) / nullif(stddev_pop(sum_click) OVER w, 0)
     AS z FROM student_vle c WINDOW w AS (PARTITION BY {OFFERING})) c
-WHERE sum_click > 5000 OR z > 3""".replace("SELECT c.*,\n  CASE", "SELECT c.* EXCLUDE (z),\n  CASE"))
+WHERE sum_click > 5000 OR z > 3""")
 
 
 def score_flags(source: str, columns: str) -> str:

@@ -66,7 +66,7 @@ def run(spark: SparkSession, data_dir: str, root: str, load_ts: datetime | None
     base = quality.raw_tables(t)
     warehouse.overwrite(rules.validate_all(base, rulebook.EXECUTED), "gold", "rule_results")
     results = warehouse.read("gold", "rule_results")
-    audit.log("validate", "bronze", rules.summarize(results).first().asDict() | {"pass_rate": None})
+    audit.log("validate", "bronze", rules.summarize(results).first().asDict())
 
     flags = anomaly.detect_all(load_ts, t["student_vle"], t["student_assessment"],
                                t["student_registration"])

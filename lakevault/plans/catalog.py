@@ -66,7 +66,8 @@ class Tables:
             self._frames[name] = self._frames[name]()
         return self._frames[name]
 
-    def with_frames(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]], **changes) -> Tables:
+    def with_frames(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                    **changes) -> Tables:
         """Copy in which the given frames replace models or tables; the rest is rebuilt."""
         base = {k: v for k, v in self._frames.items() if k not in MODELS}
         return Tables({**base, **frames}, changes.get("load_ts", self.load_ts),

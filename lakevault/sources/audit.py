@@ -57,7 +57,7 @@ class AuditLog:
             principal: str | None = None, now: datetime | None = None) -> None:
         """Add one event."""
         row = (now or datetime.now(UTC), principal or self.principal, action, resource,
-               json.dumps(detail or {}))
+               json.dumps(detail or {}, default=str))
         self.append(self.spark.createDataFrame([row], AUDIT_EVENT))
 
     def read_day(self, day: datetime) -> DataFrame:
