@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.llm import quality_rules, simhash_dedup
+import public_tokenizers
+
+from lakevault.llm import bpe, quality_rules, simhash_dedup
 
 #: Arrow batches are bounded by bytes as well as rows, since texts may be long.
 BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
@@ -18,6 +20,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str,
+                 vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    ranks = bpe.load_ranks(public_tokenizers.path(vocabulary))
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, carry=["doc_id"])
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(spark, F.col("ids"), ranks), 256).alias("decoded_sha256"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return simhash_dedup.near_duplicates(docs).select(
@@ -36,6 +48,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_byte_bpe": op4_byte_bpe,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
