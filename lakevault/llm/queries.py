@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakevault.llm import bpe, quality_rules, simhash_dedup
+from lakevault.llm import bpe, pii, quality_rules, simhash_dedup
 
 #: Arrow batches are bounded by bytes as well as rows, since texts may be long.
 BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
+#: A deployment passes its own secret.
+PII_KEY = "pseudonym key of this corpus"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set(*BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,6 +34,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str,
         F.sha2(bpe.decode(spark, F.col("ids"), ranks), 256).alias("decoded_sha256"))
 
 
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str, key: str = PII_KEY) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pii.pseudonymise(docs, key, found="found")
+    counts = (F.size(F.filter("found", lambda k, kind=kind: k == kind)).alias(f"n_{kind}")
+              for kind in pii.KINDS)
+    return done.select("doc_id", "text", *counts)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return simhash_dedup.near_duplicates(docs).select(
@@ -49,6 +61,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
