@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakevault.llm import bpe, pii, quality_rules, simhash_dedup
+from lakevault.llm import bpe, decontaminate, pii, quality_rules, simhash_dedup
 
 #: Arrow batches are bounded by bytes as well as rows, since texts may be long.
 BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
@@ -34,10 +34,19 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str,
         F.sha2(bpe.decode(spark, F.col("ids"), ranks), 256).alias("decoded_sha256"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"),
+                               _table(spark, sf_dir, "benchmark"))
+
+
+def _only(kind: str):
+    return lambda k: F.when(k == kind, k)
+
+
 def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str, key: str = PII_KEY) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     done = pii.pseudonymise(docs, key, found="found")
-    counts = (F.size(F.filter("found", lambda k, kind=kind: k == kind)).alias(f"n_{kind}")
+    counts = (F.size(F.array_compact(F.transform("found", _only(kind)))).alias(f"n_{kind}")
               for kind in pii.KINDS)
     return done.select("doc_id", "text", *counts)
 
@@ -61,6 +70,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_decontamination": op6_decontamination,
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
