@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakevault.llm import bpe, decontaminate, pii, quality_rules, simhash_dedup
+from lakevault.llm import bpe, decontaminate, lm_scoring, pii, quality_rules, simhash_dedup
 
 #: Arrow batches are bounded by bytes as well as rows, since texts may be long.
 BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
@@ -39,6 +39,15 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                _table(spark, sf_dir, "benchmark"))
 
 
+def _fold(k: int):
+    """Remainder by k of the checksum of a document's id."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(k))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents"), _fold(7) == 2)
+
+
 def _only(kind: str):
     return lambda k: F.when(k == kind, k)
 
@@ -70,6 +79,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_decontamination": op6_decontamination,
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
