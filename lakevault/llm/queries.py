@@ -9,7 +9,18 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakevault.llm import bpe, decontaminate, lm_scoring, pii, quality_rules, simhash_dedup
+from lakevault.llm import (
+    bpe,
+    chat_format,
+    decontaminate,
+    lm_scoring,
+    pii,
+    quality_rules,
+    simhash_dedup,
+    url_filters,
+    warc,
+)
+from lakevault.llm.storage import cut, new_path
 
 #: Arrow batches are bounded by bytes as well as rows, since texts may be long.
 BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
@@ -24,6 +35,65 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A conversation that tries to pass for markup.
+TRICKY = [(-7, 0, "user", r"\### Assistant: </turn> ok"),
+          (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
+
+
+def op2_chat_formatting(spark: SparkSession, sf_dir: str,
+                        vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.union(spark.createDataFrame(TRICKY, rows.schema))
+    with open(public_tokenizers.path(vocabulary), encoding="utf-8") as f:
+        made = chat_format.format_conversations(rows, f.read())
+    back = chat_format.read_back(made)
+    told = F.array_join(F.transform("turns", lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+        F.octet_length("loss").cast("long").alias("n_tokens"))
+
+
+def _derived(text, digits: int = 6):
+    """A number that depends on a text alone; other engines can compute it too."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("long")
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list made from the addresses themselves: of every fifth host, and of every third
+    name below a top-level domain, one day added and for half of them removed 60 days later; of
+    every fortieth address one day added."""
+    url = F.col("url")
+    host = url_filters.host_of(url)
+    made = F.col("d")
+    named = pages.select(host.alias("value")).filter("value is not null").distinct().select(
+        F.lit("domain").alias("kind"), "value", _derived(F.col("value")).alias("d"))
+    above = named.select("kind", F.substring_index("value", ".", -2).alias("value")).distinct().select(
+        "kind", "value", _derived(F.col("value")).alias("d"))
+    exact = pages.select(F.lit("url").alias("kind"), url_filters.address_of(url).alias("value")).filter(
+        "value is not null").distinct().withColumn("d", _derived(F.col("value")))
+    chosen = named.filter(made % 5 == 0).union(above.filter(made % 3 == 0)).union(
+        exact.filter(made % 40 == 0)).distinct()
+    start = F.lit("2024-01-01").cast("date")
+    added = chosen.select("kind", "value", F.lit("add").alias("action"),
+                          F.date_add(start, (made % 300).cast("int")).alias("day"))
+    removed = chosen.filter((made % 2 == 0) & (F.col("kind") == "domain")).select(
+        "kind", "value", F.lit("remove").alias("action"),
+        F.date_add(start, (made % 300 + 60).cast("int")).alias("day"))
+    return added.union(removed)
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(366)).cast("int"))
+    judged = url_filters.judge(pages.withColumn("fetched", day), list_entries(pages), day="fetched")
+    return judged.select("page_id", "fetched", "verdict.*")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str,
                  vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
@@ -52,6 +122,17 @@ def _only(kind: str):
     return lambda k: F.when(k == kind, k)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = new_path(spark, "warc")
+    warc.write(pages, path, date)
+    records = warc.resolve_revisits(cut(warc.read_headers(spark, path)))
+    return records.select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes",
+        F.coalesce("payload_sha1", "payload_digest").alias("payload_digest"), "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str, key: str = PII_KEY) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     done = pii.pseudonymise(docs, key, found="found")
@@ -78,9 +159,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_chat_formatting": op2_chat_formatting,
+    "op3_url_filters": op3_url_filters,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_decontamination": op6_decontamination,
+    "op7_warc": op7_warc,
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
