@@ -15,6 +15,7 @@ from lakevault.llm import (
     decontaminate,
     lm_scoring,
     pii,
+    quality_classifier,
     quality_rules,
     simhash_dedup,
     url_filters,
@@ -35,6 +36,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(k: int):
+    """Remainder by k of the checksum of a document's id."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(k))
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _fold(3) == 1)
+
+
 #: A conversation that tries to pass for markup.
 TRICKY = [(-7, 0, "user", r"\### Assistant: </turn> ok"),
           (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
@@ -109,11 +120,6 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                _table(spark, sf_dir, "benchmark"))
 
 
-def _fold(k: int):
-    """Remainder by k of the checksum of a document's id."""
-    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(k))
-
-
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(_table(spark, sf_dir, "documents"), _fold(7) == 2)
 
@@ -159,6 +165,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_url_filters": op3_url_filters,
     "op4_byte_bpe": op4_byte_bpe,
