@@ -65,8 +65,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str,
         F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
         F.char_length("loss_text").cast("long").alias("loss_chars"),
         F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
-        F.char_length("formatted").cast("long").alias("formatted_chars"),
-        F.octet_length("loss").cast("long").alias("n_tokens"))
+        F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
 def _derived(text, digits: int = 6):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakevault.llm import quality_rules
+from lakevault.llm import quality_rules, url_filters, warc
 
 _WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
 
@@ -53,7 +53,78 @@ mm AS (SELECT * EXCLUDE (wc), coalesce(wc, 0) AS word_chars FROM m)
 SELECT *, ({base}) AS base_failed, NOT ({base}) AND NOT ({table}) AS kept FROM mm"""
 
 
+CHAT = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, length(replace(replace(replace(t, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'))
+    + length(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'))
+    + length('### ') + 1 + length('</turn>') + 1 AS chars
+  FROM r),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t) AS told,
+    coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '') AS loss,
+    sum(chars) AS chars
+  FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_chars,
+  sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+FROM g"""
+
+URLS = rf"""
+WITH p0 AS (
+  SELECT page_id, url, CAST(DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS DATE) AS fetched,
+    regexp_replace(regexp_extract(lower(url), '{url_filters.HOST}', 1), '\.+$', '') AS h,
+    regexp_replace(url, '#.*$', '') AS address
+  FROM pages),
+p AS (SELECT * EXCLUDE (h), CASE WHEN length(h) BETWEEN 1 AND 253 THEN h END AS host FROM p0),
+named AS (SELECT DISTINCT 'domain' AS kind, host AS value FROM p WHERE host IS NOT NULL),
+above AS (
+  SELECT DISTINCT kind, regexp_extract(value, '[^.]*(\.[^.]*)?$') AS value FROM named),
+listed AS (
+  SELECT *, CAST(('0x' || substr(md5(value), 1, 6)) AS BIGINT) AS d, 5 AS k FROM named
+  UNION SELECT *, CAST(('0x' || substr(md5(value), 1, 6)) AS BIGINT), 3 FROM above
+  UNION SELECT DISTINCT 'url', address, CAST(('0x' || substr(md5(address), 1, 6)) AS BIGINT), 40
+  FROM p WHERE address IS NOT NULL),
+chosen AS (SELECT DISTINCT kind, value, d FROM listed WHERE d % k = 0),
+entries AS (
+  SELECT kind, value, 'add' AS action, DATE '2024-01-01' + CAST(d % 300 AS INTEGER) AS day FROM chosen
+  UNION ALL SELECT kind, value, 'remove', DATE '2024-01-01' + CAST(d % 300 + 60 AS INTEGER)
+  FROM chosen WHERE d % 2 = 0 AND kind = 'domain'),
+spans AS (
+  SELECT * EXCLUDE (day), CAST(day AS DATE) AS from_day,
+    lead(day) OVER (PARTITION BY kind, value ORDER BY day) AS to_day
+  FROM entries),
+hits AS (
+  SELECT page_id, fetched, kind, value, from_day FROM p JOIN spans
+    ON spans.action = 'add' AND from_day <= fetched AND (to_day IS NULL OR fetched < to_day)
+    AND (kind = 'domain' AND (host = value OR ends_with(host, '.' || value))
+      OR kind = 'url' AND address = value)),
+best AS (
+  SELECT page_id, count(*) AS n_active,
+    max({{'n': length(value), 'value': value, 'day': from_day}}) FILTER (kind = 'domain') AS b
+  FROM hits GROUP BY page_id)
+SELECT page_id, fetched, host, n_active IS NOT NULL AS blocked, coalesce(n_active, 0) AS n_active,
+  b.value AS domain, b.day AS since
+FROM p LEFT JOIN best USING (page_id)"""
+
+WARC = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS size
+  FROM pages),
+q AS (SELECT *, CASE WHEN size >= {warc.LEAST_BYTES} THEN max(page_id) OVER (PARTITION BY h) END AS o
+  FROM p)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN o <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN o <> page_id THEN o END AS refers_to
+FROM q"""
+
 ORACLES: dict[str, str] = {
+    "op2_chat_formatting": CHAT,
+    "op3_url_filters": URLS,
+    "op7_warc": WARC,
     "op10_quality_rules":
         "SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, "
         f"base_failed, kept FROM ({quality()})",
