@@ -159,12 +159,14 @@ def _windows(screened: DataFrame, items: DataFrame) -> DataFrame:
         F.min("p").alias("first"), F.max("p").alias("last"))
     starts = runs.select("rid", "n", F.explode(F.array(
         F.col("diagonal"), F.col("first"), F.col("last") + F.col("k") - F.col("n"))).alias("s"))
-    wanted = starts.groupBy("rid").agg(F.collect_set(F.struct(
-        "n", F.greatest("s", F.lit(0)).alias("start"))).alias("w"))
-    return wanted.join(screened.filter(F.col("hits").isNotNull()).select("rid", "h"), "rid").select(
-        "rid", F.explode(F.transform("w", lambda w: F.struct(
-            w["n"].alias("n"), w["start"].alias("start"),
-            F.slice("h", w["start"] + 1, w["n"]).alias("h")))).alias("w")).select("rid", "w.*")
+    wanted = starts.groupBy("rid").agg(F.collect_set(F.struct("n", "s")).alias("w"))
+    placed = wanted.join(screened.filter(F.col("hits").isNotNull()).select("rid", "h"), "rid")
+    inside = placed.withColumn("w", F.array_distinct(F.transform("w", lambda w: F.struct(
+        w["n"].alias("n"),
+        F.greatest(F.least(w["s"], F.size("h") - w["n"]), F.lit(0)).alias("start")))))
+    return inside.select("rid", F.explode(F.transform("w", lambda w: F.struct(
+        w["n"].alias("n"), w["start"].alias("start"),
+        F.slice("h", w["start"] + 1, w["n"]).alias("h")))).alias("w")).select("rid", "w.*")
 
 
 def _block(fp: Column) -> list[Column]:
