@@ -1,13 +1,28 @@
-"""Layered parquet warehouse: overwrite, append, upsert and satellite append."""
+"""Layered parquet warehouse: overwrite, append, upsert and satellite append.
+
+A table is a folder of segments, each written by one job, and of commits ``_commit_<n>.json`` that
+list the segments which make up version n. The last complete commit is the table. A write creates
+new segments first and its commit last, so a run that dies at any point leaves the table as it
+was, and nothing is ever moved. Segments that neither the new version nor the one before it uses
+are deleted after the commit; readers of these two versions are not disturbed.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakevault.operators.incremental import new_versions, newer_than_stored, upsert_by_key
 
+# Tables with upserts are stored in so many parts by a hash of the key; a batch rewrites only
+# those that it touches.
+KEY_PARTS = 64
+_PART = "_key_part"
+
 
 class Warehouse:
     """Tables under ``root/<layer>/<name>`` on any file system Spark can reach."""
@@ -28,47 +43,107 @@ class Warehouse:
         fs, target = self._fs(path)
         return fs.exists(target)
 
+    def _names(self, folder: str) -> list[str]:
+        fs, target = self._fs(folder)
+        return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+    def _commits(self, layer: str, name: str) -> list[tuple[int, list[str]]]:
+        """(version, segments) of the complete commits, the last one first. A commit that was cut
+        off while being written is no commit."""
+        folder, out = self.path(layer, name), []
+        for file in self._names(folder):
+            if file.startswith("_commit_"):
+                try:
+                    listed = json.loads(self._text(f"{folder}/{file}"))
+                except ValueError:
+                    continue
+                out.append((listed["version"], listed["segments"]))
+        return sorted(out, reverse=True)
+
+    def _text(self, path: str) -> str:
+        fs, target = self._fs(path)
+        stream = fs.open(target)
+        try:
+            return self.spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream).decode()
+        finally:
+            stream.close()
+
+    def _segments(self, layer: str, name: str) -> list[str]:
+        commits = self._commits(layer, name)
+        return commits[0][1] if commits else []
+
+    def _commit(self, layer: str, name: str, segments: list[str]) -> None:
+        """Make these segments the table. Creating the file is the one step that counts; two
+        writers cannot create the same version."""
+        folder, commits = self.path(layer, name), self._commits(layer, name)
+        version = commits[0][0] + 1 if commits else 1
+        fs, target = self._fs(f"{folder}/_commit_{version}.json")
+        if fs.exists(target) and version not in [v for v, _ in commits]:
+            fs.delete(target, False)  # cut off in an earlier run
+        stream = fs.create(target, False)
+        try:
+            stream.write(bytearray(json.dumps({"version": version, "segments": segments}).encode()))
+        finally:
+            stream.close()
+        used = {s.split("/")[0] for s in segments} | {
+            s.split("/")[0] for _, listed in commits[:1] for s in listed}
+        keep = {f"_commit_{v}.json" for v in (version, version - 1)}
+        for file in self._names(folder):
+            if file not in used and file not in keep:
+                fs.delete(self._fs(f"{folder}/{file}")[1], True)
+
+    def _write(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> str:
+        """A new segment, not yet part of the table."""
+        segment = f"segment-{uuid.uuid4().hex}"
+        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+        writer.parquet(f"{self.path(layer, name)}/{segment}")
+        return segment
+
     def exists(self, layer: str, name: str) -> bool:
-        return self.path_exists(self.path(layer, name))
+        return bool(self._commits(layer, name))
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
+        """The last committed version."""
+        segments = self._segments(layer, name)
+        if not segments:
+            raise FileNotFoundError(f"{self.path(layer, name)} has no committed version")
+        return self._read(layer, name, segments)
+
+    def _read(self, layer: str, name: str, segments: Sequence[str]) -> DataFrame:
+        return self.spark.read.parquet(*(f"{self.path(layer, name)}/{s}" for s in segments))
 
     def overwrite(self, df: DataFrame, layer: str, name: str,
                   partition_by: Sequence[str] = ()) -> None:
-        """Full refresh: written beside the table, then swapped in.
-
-        The old content stays readable until the new one is complete, so the plan may read the
-        table it replaces and a failed job leaves the table as it was. With ``partition_by`` rows
-        are first rebalanced on those columns, which splits a hot value over several tasks.
-        """
-        final = self.path(layer, name)
-        staged, old = f"{final}__staged", f"{final}__old"
+        """Full refresh. The plan may read the table it replaces. With ``partition_by`` rows are
+        first rebalanced on those columns, which splits a hot value over several tasks."""
         if partition_by:
             df = df.hint("rebalance", *partition_by)
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(staged)
-        fs, target = self._fs(final)
-        _, staged_path = self._fs(staged)
-        _, old_path = self._fs(old)
-        fs.delete(old_path, True)
-        if fs.exists(target) and not fs.rename(target, old_path):
-            raise OSError(f"cannot move {final} aside")
-        if not fs.rename(staged_path, target):
-            fs.rename(old_path, target)
-            raise OSError(f"cannot move {staged} into place")
-        fs.delete(old_path, True)
+        self._commit(layer, name, [self._write(df, layer, name, partition_by)])
 
     def append(self, df: DataFrame, layer: str, name: str) -> None:
-        df.write.mode("append").parquet(self.path(layer, name))
+        """Add rows; a failed append adds none."""
+        segment = self._write(df, layer, name)
+        self._commit(layer, name, [*self._segments(layer, name), segment])
 
     def upsert(self, batch: DataFrame, layer: str, name: str, key: Sequence[str]) -> None:
-        """Replace rows with a matching key, insert the others."""
-        if self.exists(layer, name):
-            batch = upsert_by_key(self.read(layer, name), batch, key)
-        self.overwrite(batch, layer, name)
+        """Replace rows with a matching key, insert the others. Only parts of the table that hold
+        a key of the batch are read and written; which these are is one number of at most
+        ``KEY_PARTS`` each."""
+        part = F.pmod(F.xxhash64(*key), F.lit(KEY_PARTS)).cast("int")
+        stored = self._segments(layer, name)
+        touched = {r[0] for r in batch.select(part).distinct().collect()}
+        names = {p: f"{_PART}={p}" for p in touched}
+        mine = [s for s in stored if "/" not in s or s.split("/")[1] in names.values()]
+        if mine:
+            batch = upsert_by_key(self._read(layer, name, mine), batch, key)
+        segment = self._write(batch.withColumn(_PART, part).hint("rebalance", _PART), layer, name,
+                              [_PART])
+        made = [f"{segment}/{p}" for p in self._names(f"{self.path(layer, name)}/{segment}")
+                if p.startswith(_PART)]
+        kept = [s for s in stored if s not in mine]
+        if not made and not kept:  # a table without rows is a file without rows
+            made = [self._write(batch.limit(0), layer, name)]
+        self._commit(layer, name, kept + made)
 
     def append_versions(self, batch: DataFrame, layer: str, name: str, key: str) -> None:
         """Add the satellite rows whose (key, hashdiff) is not stored yet."""

@@ -62,7 +62,10 @@ def test_overwrite_may_read_the_table_it_replaces(spark, tmp_path):
     wh.overwrite(spark.range(10), "x", "t")
     wh.overwrite(wh.read("x", "t").filter("id > 6"), "x", "t")
     assert wh.read("x", "t").count() == 3
-    assert sorted(p.name for p in (tmp_path / "x").iterdir()) == ["t"]
+    wh.overwrite(spark.range(2), "x", "t")
+    names = [p.name for p in (tmp_path / "x" / "t").iterdir() if not p.name.startswith(".")]
+    assert sorted(n.split("-")[0] for n in names) == [
+        "_commit_2.json", "_commit_3.json", "segment", "segment"]
 
 
 def test_failed_overwrite_leaves_the_table(spark, tmp_path):
@@ -77,10 +80,77 @@ def test_failed_overwrite_leaves_the_table(spark, tmp_path):
 def test_partitioned_overwrite(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path))
     wh.overwrite(spark.range(100).selectExpr("id", "id % 3 as p"), "x", "t", ["p"])
-    assert (tmp_path / "x" / "t" / "p=2").is_dir()
+    assert list((tmp_path / "x" / "t").glob("segment-*/p=2"))
     assert wh.read("x", "t").filter("p = 1").count() == 33
 
 
+class Cut(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["write", "create", "close", "clean"])
+@pytest.mark.parametrize("kind", ["overwrite", "append", "upsert"])
+def test_a_write_that_dies_leaves_old_or_new_rows(spark, tmp_path, monkeypatch, step, kind):
+    wh = Warehouse(spark, str(tmp_path))
+    old, new = spark.range(10).toDF("id"), spark.range(5, 15).toDF("id")
+
+    def write():
+        if kind == "upsert":
+            wh.upsert(new, "x", "t", ["id"])
+        else:
+            getattr(wh, kind)(new, "x", "t")
+
+    def rows():
+        return sorted(r.id for r in Warehouse(spark, str(tmp_path)).read("x", "t").collect())
+
+    wh.upsert(old, "x", "t", ["id"])
+    after = {"overwrite": list(range(5, 15)), "append": sorted([*range(10), *range(5, 15)]),
+             "upsert": list(range(15))}[kind]
+    die = {"write": "_write", "create": "_commit", "clean": "_names"}
+    with monkeypatch.context() as m:
+        if step == "close":  # the commit is there but cut off
+            (tmp_path / "x" / "t" / "_commit_2.json").write_text('{"version": 2, "segm')
+        elif step == "clean":
+            real, calls = wh._names, []
+
+            def names(folder):
+                calls.append(folder)
+                commits = [f for f in real(folder) if f.startswith("_commit_")]
+                if len(commits) > 1:
+                    raise Cut
+                return real(folder)
+
+            m.setattr(wh, "_names", names)
+        else:
+            def stop(*_, **__):
+                raise Cut
+
+            m.setattr(wh, die[step], stop)
+        if step != "close":
+            with pytest.raises(Cut):
+                write()
+    if step == "clean":
+        assert rows() == after
+    else:
+        assert rows() == list(range(10))
+        write()
+        assert rows() == after
+
+
+def test_upsert_rewrites_touched_parts_only(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    wh.upsert(spark.range(1000).toDF("id").withColumn("v", F.lit("old")), "x", "t", ["id"])
+    first = set(wh._segments("x", "t"))
+    wh.upsert(spark.range(3).toDF("id").withColumn("v", F.lit("new")), "x", "t", ["id"])
+    second = set(wh._segments("x", "t"))
+    assert len(first) == 64 and len(second) == 64 and len(first - second) <= 3
+    got = wh.read("x", "t")
+    assert got.columns == ["id", "v"] and got.count() == 1000
+    assert got.filter("v = 'new'").count() == 3
+    wh.upsert(got.limit(0), "x", "t", ["id"])
+    assert wh.read("x", "t").count() == 1000
+
+
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     """Vault tables after both loads, written through the sinks, and their sizes in between."""
