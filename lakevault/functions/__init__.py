@@ -2,6 +2,7 @@
 
 from lakevault.functions.keys import hash_key, hashdiff, pseudonym
 from lakevault.functions.scalars import (
+    EXACT,
     NA_TOKENS,
     activity_category,
     assessment_result,
@@ -19,7 +20,8 @@ from lakevault.functions.scalars import (
 )
 
 __all__ = [
-    "NA_TOKENS", "activity_category", "assessment_result", "blank_na", "exact_mean", "hash_key",
-    "hashdiff", "one_decimal", "presentation_start", "pseudonym", "ratio", "registration_timing",
-    "round_half_up", "to_double", "to_long", "to_long_or_zero", "week_number",
+    "EXACT", "NA_TOKENS", "activity_category", "assessment_result", "blank_na", "exact_mean",
+    "hash_key", "hashdiff", "one_decimal", "presentation_start", "pseudonym", "ratio",
+    "registration_timing", "round_half_up", "to_double", "to_long", "to_long_or_zero",
+    "week_number",
 ]

@@ -24,6 +24,9 @@ ACTIVITY_CATEGORIES = {
 PRESENTATION_STARTS = {"B": "February", "J": "October"}
 
 PASS_MARK = 40
+
+# Decimal for sums and means: twelve digits after the point, sixteen before it (a sum has more).
+EXACT = "decimal(28,12)"
 DAYS_PER_WEEK = 7
 
 
@@ -32,14 +35,24 @@ def blank_na(c: Column) -> Column:
     return F.when(~c.isin(NA_TOKENS), c)
 
 
+# What counts as a number; a plain cast would also take suffixes such as 12d or 7F.
+NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+LONG_LIMIT = 2.0 ** 63
+
+
 def to_double(c: Column) -> Column:
     """Numeric value of a cell, NULL when it is not a number."""
-    return blank_na(c).try_cast("double")
+    cell = blank_na(c)
+    return F.when(cell.rlike(NUMBER), cell).try_cast("double")
 
 
 def to_long(c: Column) -> Column:
-    """Whole part of a numeric cell, NULL when it is not a number."""
-    return to_double(c).try_cast("bigint")
+    """Whole part of a numeric cell, NULL when it is not a number or has no 64-bit value. Whole
+    numbers are read as they stand, so that large ids stay apart."""
+    number = to_double(c)
+    inside = (number > -LONG_LIMIT) & (number < LONG_LIMIT)
+    return F.coalesce(F.trim(blank_na(c)).try_cast("bigint"),
+                      F.when(inside, number).try_cast("bigint"))
 
 
 def to_long_or_zero(c: Column) -> Column:
@@ -88,12 +101,12 @@ def ratio(num: Column, den: Column) -> Column:
 
 def round_half_up(c: Column, digits: int) -> Column:
     """Half-up rounding of the decimal value, so that 0.285 gives 0.29 on every engine."""
-    return F.round(c.cast("decimal(18,6)"), digits).cast("double")
+    return F.round(c.cast(EXACT), digits).cast("double")
 
 
 def exact_mean(c: Column) -> Column:
     """Mean over exact decimal sums: the result does not depend on the order of the rows."""
-    return ratio(F.sum(c.cast("decimal(18,6)")), F.count(c))
+    return ratio(F.sum(c.cast(EXACT)), F.count(c))
 
 
 def one_decimal(c: Column) -> Column:

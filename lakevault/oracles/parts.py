@@ -26,7 +26,7 @@ def diff(*cols: str) -> str:
 
 
 def dec(expr: str) -> str:
-    return f"CAST({expr} AS DECIMAL(18,6))"
+    return f"CAST({expr} AS DECIMAL(28,12))"
 
 
 def rnd(expr: str, digits: int) -> str:

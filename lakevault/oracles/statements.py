@@ -44,15 +44,16 @@ add("ingest_courses", "SELECT * FROM courses")
 NUMERIC_TEXT = """
   SELECT l_orderkey, l_linenumber, l_partkey,
     CASE l_linenumber WHEN 1 THEN q WHEN 2 THEN 'NA' WHEN 3 THEN '?' WHEN 4 THEN ' ' || q || ' '
-      WHEN 5 THEN q || '.7' WHEN 6 THEN '' END AS a,
+      WHEN 5 THEN q || '.7' WHEN 6 THEN q || 'd'
+      WHEN 7 THEN '90071992547410' || lpad(q, 2, '0') END AS a,
     CASE l_linenumber WHEN 1 THEN q || '.5' WHEN 2 THEN 'NaN' WHEN 3 THEN 'x' WHEN 4 THEN ' ' || q
-      WHEN 5 THEN '-' || q || '.25' WHEN 6 THEN '' END AS b
+      WHEN 5 THEN '-' || q || '.25' WHEN 6 THEN q || 'F' WHEN 7 THEN '' END AS b
   FROM (SELECT *, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q FROM lineitem)"""
 add("coerce_numeric", f"""
 SELECT l_orderkey, l_linenumber, l_partkey,
-  CAST(COALESCE(trunc(x), 0) AS BIGINT) AS sum_click, CAST(trunc(x) AS BIGINT) AS date_submitted,
-  y AS score
-FROM (SELECT *, CASE WHEN a <> 'NA' THEN TRY_CAST(trim(a) AS DOUBLE) END AS x,
+  COALESCE(x, 0) AS sum_click, x AS date_submitted, y AS score
+FROM (SELECT *, CASE WHEN regexp_full_match(trim(a), '[0-9]+') THEN CAST(trim(a) AS BIGINT)
+      WHEN a <> 'NA' THEN CAST(trunc(TRY_CAST(trim(a) AS DOUBLE)) AS BIGINT) END AS x,
     CASE WHEN b <> 'NaN' THEN TRY_CAST(trim(b) AS DOUBLE) END AS y FROM ({NUMERIC_TEXT}))""")
 
 # Registrations summed per key: any repeated key turns missing numbers into 0 everywhere.

@@ -33,7 +33,7 @@ def bv_course_offering(t: Tables) -> DataFrame:
         .agg(
             F.array_sort(F.collect_set("assessment_type")).alias("types"),
             F.count_distinct("hk_assessment").alias("assessment_count"),
-            F.sum(F.col("weight").cast("decimal(18,6)")).cast("double").alias("total_weight"),
+            F.sum(F.col("weight").cast(L.EXACT)).cast("double").alias("total_weight"),
         )
     )
     type_list = F.when(F.size("types") > 0, F.array_join("types", ", "))

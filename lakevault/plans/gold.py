@@ -41,7 +41,7 @@ def dim_course(t: Tables) -> DataFrame:
     """Courses with assessment count and total weight (no per-type column: it has no source)."""
     totals = t["silver_assessments"].groupBy(*OFFERING).agg(
         F.count_distinct("id_assessment").alias("assessment_count"),
-        F.sum(F.col("weight").cast("decimal(18,6)")).cast("double").alias("total_weight"),
+        F.sum(F.col("weight").cast(L.EXACT)).cast("double").alias("total_weight"),
     )
     return t["silver_courses"].select(*OFFERING, "length", "presentation_start").distinct().join(
         totals, OFFERING, "left")

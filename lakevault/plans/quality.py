@@ -109,7 +109,7 @@ def model_tests(t: Tables) -> DataFrame:
 def weight_sum(assessments: DataFrame) -> DataFrame:
     """Offerings whose weights do not add up to 100 (by more than 1) or that have no exam."""
     per_offering = assessments.groupBy(*OFFERING).agg(
-        F.sum(F.col("weight").cast("decimal(18,6)")).cast("double").alias("total_weight"),
+        F.sum(F.col("weight").cast(L.EXACT)).cast("double").alias("total_weight"),
         F.count_if(F.col("assessment_type") == "Exam").alias("exams"),
     )
     off = F.abs(F.col("total_weight") - WEIGHT_SUM) > WEIGHT_TOLERANCE

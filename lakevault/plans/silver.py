@@ -29,7 +29,7 @@ def silver_assessments(t: Tables) -> DataFrame:
     """
     a = t["bronze_assessments"]
     totals = a.groupBy(*[F.col(c).alias(f"_{c}") for c in OFFERING]).agg(
-        F.sum(F.col("weight").cast("decimal(18,6)")).cast("double").alias("_total"))
+        F.sum(F.col("weight").cast(L.EXACT)).cast("double").alias("_total"))
     same_offering = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in OFFERING]
     courses = t["bronze_courses"].select(*OFFERING, F.col("length").alias("module_length"))
     share = L.round_half_up(L.ratio(F.col("weight"), F.col("_total")), 4)

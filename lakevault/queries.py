@@ -133,12 +133,14 @@ def coerce_numeric(g: Given) -> DataFrame:
     clicks = (
         F.when(n == 1, qty).when(n == 2, "NA").when(n == 3, "?")
         .when(n == 4, F.concat(F.lit(" "), qty, F.lit(" ")))
-        .when(n == 5, F.concat(qty, F.lit(".7"))).when(n == 6, "")
+        .when(n == 5, F.concat(qty, F.lit(".7"))).when(n == 6, F.concat(qty, F.lit("d")))
+        .when(n == 7, F.concat(F.lit("90071992547410"), F.lpad(qty, 2, "0")))
     )
     score = (
         F.when(n == 1, F.concat(qty, F.lit(".5"))).when(n == 2, "NaN").when(n == 3, "x")
         .when(n == 4, F.concat(F.lit(" "), qty))
-        .when(n == 5, F.concat(F.lit("-"), qty, F.lit(".25"))).when(n == 6, "")
+        .when(n == 5, F.concat(F.lit("-"), qty, F.lit(".25")))
+        .when(n == 6, F.concat(qty, F.lit("F"))).when(n == 7, "")
     )
     return g.parquet("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", clicks.alias("a"), score.alias("b"),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Callable
+import warnings
+from collections.abc import Callable, Collection, Mapping
 from datetime import datetime
 
 from pyspark.errors import PySparkException
@@ -17,32 +18,47 @@ from lakevault.sources.warehouse import Warehouse
 LoadResult = tuple[int, list[str]]
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All cells as text, plus a column that orders rows as they stand in the file.
 
     Only the header line is read ahead; types are declared, never inferred. Cells keep their
-    blanks, numbers are trimmed when they are cast. Files are split and read in parallel, so a
-    quoted cell must not contain a line break. The order column is file, offset of the split and
-    position within it, the same on every attempt of a task.
+    blanks, numbers are trimmed when they are cast. Short rows end in NULL. A row with more cells
+    than the header has stops the read, and so does a quoted line break, unless ``multi_line``
+    says that cells may hold one (files are then read whole instead of split). The order column is
+    file, offset of the split and position within it, the same on every attempt of a task.
     """
-    df = spark.read.options(header=True, escape='"').csv(path)
-    columns = df.columns
+    reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
+    columns = reader.csv(path).columns
+    cells = [f"c{i}" for i in range(len(columns))]
+    schema = ", ".join(f"{c} string" for c in [*cells, "odd"])
+    df = reader.option("columnNameOfCorruptRecord", "odd").schema(schema).csv(path)
     order = F.struct("_metadata.file_path", "_metadata.file_block_start",
                      F.monotonically_increasing_id().alias("row"))
-    return df.select("*", order.alias(ingest.FILE_ORDER)).toDF(*columns, ingest.FILE_ORDER)
+    # "odd" is the text of a line that has another number of cells than the header
+    found = F.regexp_count(F.regexp_replace("odd", '"(?:[^"]|"")*"', ""), F.lit(",")) + 1
+    fault = F.when(found > len(columns), F.concat(
+        F.lit("a row has "), found.cast("string"), F.lit(f" cells, the header {len(columns)}")))
+    if not multi_line:
+        fault = F.when(F.regexp_count("odd", F.lit('"')) % 2 == 1, F.lit(
+            "a quoted cell holds a line break; read the file with multi_line")).otherwise(fault)
+    sound = F.when(fault.isNull(), F.lit(True)).otherwise(F.raise_error(fault).cast("boolean"))
+    return df.filter(sound).select(*cells, order.alias(ingest.FILE_ORDER)).toDF(
+        *columns, ingest.FILE_ORDER)
 
 
 def load_table(spark: SparkSession, warehouse: Warehouse, source: str, path: str,
-               load_ts: datetime, audit: Callable | None = None) -> LoadResult:
+               load_ts: datetime, audit: Callable | None = None,
+               multi_line: bool = False) -> LoadResult:
     """Read, validate, type, de-duplicate, pseudonymise and store one file as its bronze table.
 
     Returns the stored row count and the error messages (none on success). A file that cannot be
-    read or has the wrong header leaves the stored table as it was. The row count is observed
-    while writing, no second pass counts the rows.
+    read, has the wrong header or a malformed row leaves the stored table as it was. The row count
+    is observed while writing, no second pass counts the rows. A log that cannot be written is a
+    warning: the load has succeeded.
     """
     spec = spec_for(source)
     try:
-        raw = ingest.clean_header(read_csv(spark, path), spec)
+        raw = ingest.clean_header(read_csv(spark, path, multi_line), spec)
     except PySparkException as e:
         return 0, [f"CSV read failed: {e}"]
     errors = ingest.schema_errors(raw.columns, spec)
@@ -61,21 +77,28 @@ def load_table(spark: SparkSession, warehouse: Warehouse, source: str, path: str
 
     log = spark.createDataFrame(
         [(spec.table, file_name, count, None, load_ts)], INGESTION_LOG)
-    warehouse.append(log, "bronze", "ingestion_log")
-    if audit:
-        audit(action="ingest", resource=f"bronze.{spec.table}",
-              detail={"rows": count, "source": path, "errors": errors})
+    try:
+        warehouse.append(log, "bronze", "ingestion_log")
+        if audit:
+            audit(action="ingest", resource=f"bronze.{spec.table}",
+                  detail={"rows": count, "source": path, "errors": errors})
+    except Exception as e:
+        warnings.warn(f"{spec.table} is loaded, but its log is not written: {e}", stacklevel=2)
     return count, []
 
 
 def load_all_tables(spark: SparkSession, warehouse: Warehouse, data_dir: str, load_ts: datetime,
-                    audit: Callable | None = None) -> dict[str, LoadResult]:
-    """Load ``<source>.csv`` of every registered source; absent files are skipped."""
+                    audit: Callable | None = None, paths: Mapping[str, str] | None = None,
+                    multi_line: Collection[str] = ()) -> dict[str, LoadResult]:
+    """Load every registered source; absent files are skipped. A source's file is ``<source>.csv``
+    unless ``paths`` names another, anywhere; ``multi_line`` names sources whose cells may hold
+    line breaks."""
     results: dict[str, LoadResult] = {}
     for source in SPECS:
-        path = f"{data_dir.rstrip('/')}/{source}.csv"
+        path = (paths or {}).get(source, f"{data_dir.rstrip('/')}/{source}.csv")
         if warehouse.path_exists(path):
-            results[source] = load_table(spark, warehouse, source, path, load_ts, audit)
+            results[source] = load_table(
+                spark, warehouse, source, path, load_ts, audit, source in multi_line)
     return results
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from lakevault.functions import to_long
 from lakevault.operators import ingest
 from lakevault.schemas import SPECS, spec_for
 from lakevault.sources.csv_files import load_all_tables, load_table, read_csv, summary_frame
@@ -157,3 +158,49 @@ def test_load_all_skips_absent_files_logs_and_is_idempotent(spark, warehouse, tm
 
 def test_spec_lists_twelve_columns_of_student_info():
     assert len(spec_for("studentInfo").columns) == 12
+
+
+def test_rows_of_odd_length(spark, warehouse, tmp_path):
+    short, long = tmp_path / "short.csv", tmp_path / "long.csv"
+    names = "code_module,code_presentation,module_presentation_length"
+    short.write_text(names + '\nAAA,"2013""J",268\nBBB,2014B\n')
+    assert load_table(spark, warehouse, "courses", str(short), TS) == (2, [])
+    before = warehouse.read("bronze", "courses").collect()
+    assert {(r.code_module, r.code_presentation, r.length) for r in before} == {
+        ("AAA", '2013"J', 268), ("BBB", "2014B", 0)}
+    long.write_text(names + "\nAAA,2013J,268,\n")
+    count, errors = load_table(spark, warehouse, "courses", str(long), TS)
+    assert count == 0 and "a row has 4 cells, the header 3" in errors[0]
+    assert warehouse.read("bronze", "courses").collect() == before
+
+
+@pytest.mark.parametrize("row", ['AAA,2013J,"26\n8"', '"A\nAA",2013J,268', 'AAA,"20\n13J",268'])
+def test_line_breaks_inside_quotes(spark, warehouse, tmp_path, row):
+    file = tmp_path / "broken.csv"
+    names = "code_module,code_presentation,module_presentation_length"
+    file.write_text(f"{names}\nCCC,2014J,1\n{row}\n")
+    count, errors = load_table(spark, warehouse, "courses", str(file), TS)
+    assert count == 0 and "line break" in errors[0]
+    assert not warehouse.exists("bronze", "courses")
+    assert load_table(spark, warehouse, "courses", str(file), TS, multi_line=True) == (2, [])
+
+
+def test_a_log_that_fails_is_a_warning(spark, warehouse, tmp_path):
+    file = tmp_path / "c.csv"
+    file.write_text("code_module,code_presentation,module_presentation_length\nCCC,2014J,1\n")
+
+    def audit(**_):
+        raise OSError("no log today")
+
+    with pytest.warns(UserWarning, match="no log today"):
+        assert load_table(spark, warehouse, "courses", str(file), TS, audit) == (1, [])
+    assert warehouse.read("bronze", "courses").count() == 1
+
+
+def test_numbers_as_they_stand(spark):
+    cells = ["9007199254740993", "12d", "7F", "9223372036854775808", "-3.9", " 4 ", "1e3", "0x10", "NaN",
+             "9007199254740992.0", "+5", ".5", "5."]
+    row = spark.createDataFrame([cells], [f"c{i}" for i in range(len(cells))])
+    got = row.select(*[to_long(F.col(c)).alias(c) for c in row.columns]).first()
+    assert list(got) == [9007199254740993, None, None, None, -3, 4, 1000, None, None,
+                         9007199254740992, 5, 0, 5]
