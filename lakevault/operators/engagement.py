@@ -10,13 +10,9 @@ from pyspark.sql import functions as F
 from lakevault.functions import ratio, week_number
 from lakevault.functions.scalars import DAYS_PER_WEEK
 
-# A student with more click rows than this is rolled up on the spread path.
-HOT_ROWS = 10_000_000
-
 
 def rollup(clicks: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str,
-           join_on: Sequence[str], period: str, unique_sites: bool = False,
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+           join_on: Sequence[str], period: str, unique_sites: bool = False) -> DataFrame:
     """Clicks summed per ``by`` columns and period, with distinct site and activity counts.
 
     One grouping with three distinct counts would copy every click row once per distinct column
@@ -24,11 +20,8 @@ def rollup(clicks: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str
     days seen as a bit set (a week has only seven), and the site metadata is joined to that
     smaller frame, which leaves a single distinct count for the second reduction.
 
-    Ordinary students are shuffled once, by group, and both reductions run in place there.
-    Students above ``hot_rows`` rows (the first ``by`` column), and rows without a student, take
-    the spread path: partial aggregation, then shuffles by (group, site) and (group, type), so no
-    group meets in one task.
-    At most rows / ``hot_rows`` students can be that hot, which bounds the broadcast list.
+    Both groupings reduce in the tasks that read the rows before they shuffle, so the clicks are
+    read once and no student's, week's or site's rows meet in one task unreduced.
 
     ``sites`` may hold several rows per site (all satellite versions): sums then multiply as in a
     plain join, while distinct counts do not. ``unique_sites=True`` skips the numbering that
@@ -49,15 +42,7 @@ def rollup(clicks: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str
         order = Window.partitionBy(*join_on).orderBy("activity_type")
         meta = meta.withColumn("_copy", F.row_number().over(order))
 
-    student = by[0]
-    hot = clicks.groupBy(student).agg(F.count(F.lit(1)).alias("_n")).filter(
-        F.col("_n") > hot_rows).select(student)
-    together = rows.filter(F.col(student).isNotNull()).join(
-        F.broadcast(hot), student, "left_anti").repartition(*group)
-    spread = rows.join(F.broadcast(hot), student, "left_semi").unionByName(
-        rows.filter(F.col(student).isNull()))
-    out = _reduce(together, meta, group, per_site_key, site_key, join_on).unionByName(
-        _reduce(spread, meta, group, per_site_key, site_key, join_on))
+    out = _reduce(rows, meta, group, per_site_key, site_key, join_on)
     if not weekly:
         return out.select(*group, "total_clicks", "unique_resources", "unique_activity_types")
     return out.select(
@@ -71,7 +56,7 @@ def rollup(clicks: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str
 
 def _reduce(rows: DataFrame, meta: DataFrame, group: list[str], per_site_key: list[str],
             site_key: str, join_on: Sequence[str]) -> DataFrame:
-    """(group, site), then group; shuffles only where the input is not partitioned by group."""
+    """(group, site), then group."""
     day_bit = F.expr(f"shiftleft(1, cast(pmod(`date`, {DAYS_PER_WEEK}) as int))")
     per_site = rows.groupBy(*per_site_key).agg(
         F.sum("sum_click").alias("_clicks"),
