@@ -98,7 +98,7 @@ def item_table(items: DataFrame, text: str, key: str, shingle: int = SHINGLE) ->
 
 
 def _bitmap(shingles: DataFrame) -> tuple[int, Column]:
-    """Two bits for each hash in column h: number of bits, and the bitmap as an array of longs."""
+    """Three bits for each hash in column h: number of bits, and the bitmap as an array of longs."""
     bits = 1 << 10
     while bits < MOST_BITS and bits < 64 * shingles.count():
         bits *= 2
@@ -113,7 +113,7 @@ def _bitmap(shingles: DataFrame) -> tuple[int, Column]:
 
 
 def _places(h: Column, bits: int) -> list[Column]:
-    return [h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 40).bitwiseAND(F.lit(bits - 1))]
+    return [F.shiftrightunsigned(h, s).bitwiseAND(F.lit(bits - 1)) for s in (0, 20, 40)]
 
 
 def _anchors(hashes: Column, ks: list[int], bits: int, bitmap: Column) -> Column:
@@ -189,7 +189,8 @@ def matches(screened: DataFrame, items: DataFrame, similarity: float = SIMILARIT
         F.array(*_block(F.col("fp")))).alias("b", "own")).select(
         "iid", "n", "item_fp", "b", F.explode(F.transform(
             _longs(_near_masks()), lambda m: F.col("own").bitwiseXOR(m))).alias("v"))
-    met = asked.join(near, ["n", "b", "v"]).filter(
+    # the index grows with the benchmark and its size is not known beforehand: no broadcast
+    met = asked.join(near.hint("merge"), ["n", "b", "v"]).filter(
         F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
     pairs = met.select("rid", "iid", "start", "h").dropDuplicates(["rid", "iid", "start"])
     cut = F.array().cast("array<bigint>")
