@@ -68,14 +68,18 @@ def click_anomalies(df: DataFrame, detected_at: datetime, daily_max: int | None
     return _flag_clicks(scored, daily_max, z_limit, detected_at)
 
 
-def click_anomalies_per_course(df: DataFrame, detected_at: datetime, daily_max: int = DAILY_MAX,
-                               z_limit: float = Z_LIMIT) -> DataFrame:
+def click_anomalies_per_course(df: DataFrame, detected_at: datetime, daily_max: int | None = None,
+                               z_limit: float | None = None, config: Mapping | None = None
+                               ) -> DataFrame:
     """As :func:`click_anomalies`, with mean and spread per offering.
 
     Statistics are aggregated and joined back instead of a window, which would bring all rows of
     one offering into one task. Adaptive execution broadcasts the few statistic rows when their
     measured size allows it and splits hot offerings otherwise.
     """
+    limits = (config or {}).get("click_threshold", {})
+    daily_max = daily_max or limits.get("daily_max", DAILY_MAX)
+    z_limit = z_limit or limits.get("z_score", Z_LIMIT)
     clicks = F.coalesce("sum_click", F.lit(0))
     stats = df.groupBy(*[F.col(c).alias(f"_{c}") for c in OFFERING]).agg(
         F.avg(clicks).alias("_m"), F.stddev_pop(clicks).alias("_s"))
@@ -193,9 +197,12 @@ def zero_activity_exam(submissions: DataFrame, assessments: DataFrame, clicks: D
 
 
 def outside_registration_window(registrations: DataFrame,
-                                window: tuple[int, int] = REGISTRATION_WINDOW) -> DataFrame:
+                                window: tuple[int, int] | None = None,
+                                config: Mapping | None = None) -> DataFrame:
     """Registrations outside the expected day range."""
-    low, high = window
+    limits = (config or {}).get("registration_window", {})
+    low, high = window or (limits.get("min", REGISTRATION_WINDOW[0]),
+                           limits.get("max", REGISTRATION_WINDOW[1]))
     return registrations.filter(~F.col("date_registration").between(low, high)).withColumn(
         "anomaly_reason", F.lit("registration_outside_window"))
 
@@ -263,6 +270,21 @@ def summary(detected_at: datetime, clicks: DataFrame, submissions: DataFrame,
     return reduce(DataFrame.unionByName, parts)
 
 
+# Detectors, and whether the overall total includes them.
+IN_TOTAL = {"click_outlier": True, "score_outlier": True, "vle_before_registration": False,
+            "assessment_before_registration": False}
+
+
+def count_flags(flags: DataFrame) -> DataFrame:
+    """The :func:`summary` of flags that are stored already; detectors without a flag count 0."""
+    known = F.explode(F.array(*[F.struct(
+        F.lit(k).alias("anomaly_type"), F.lit(v).alias("in_total")) for k, v in IN_TOTAL.items()]))
+    names = flags.sparkSession.range(1).select(known.alias("x")).select("x.*")
+    counts = flags.groupBy("anomaly_type").agg(F.count(F.lit(1)).alias("count"))
+    return names.join(counts, "anomaly_type", "left").select(
+        "anomaly_type", F.coalesce("count", F.lit(0)).alias("count"), "in_total")
+
+
 def total(counts: DataFrame) -> DataFrame:
     """Overall number of anomalies of a :func:`summary`."""
     included = F.when(F.col("in_total"), F.col("count"))

@@ -175,6 +175,12 @@ def validate_all(tables: Mapping[str, DataFrame | None], rules: Sequence[Rule],
     return reduce(DataFrame.unionByName, parts).filter("evaluated_rows > 0")
 
 
+def applicable(tables: Mapping[str, DataFrame | None], rules: Sequence[Rule]) -> list[Rule]:
+    """The rules whose column the named table has: for models that carry a part of the columns."""
+    return [r for r in rules if tables.get(r.table) is not None
+            and r.column in tables[r.table].columns]
+
+
 def pass_rate(passed: Column, evaluated: Column) -> Column:
     """Percentage with two decimals, 0 when nothing was evaluated."""
     share = (passed * 100).cast("decimal(18,6)") / F.nullif(evaluated, F.lit(0))
@@ -223,8 +229,11 @@ class CriticalRuleFailed(RuntimeError):
 
 
 def require_critical(results: DataFrame) -> None:
-    """Gate of the pipeline: stop when any critical rule failed. Reads a few result rows only."""
+    """Gate of the pipeline: stop when any critical rule failed, and name all of them. There is one
+    result row for each declared rule."""
     bad = results.filter("severity = 'critical' and not success").select(
-        "table_name", "rule", "column").limit(TOP_FAILURES).collect()
+        "layer", "table_name", "rule", "column").orderBy(
+        "layer", "table_name", "column", "rule").collect()
     if bad:
-        raise CriticalRuleFailed("; ".join(f"{r.table_name}.{r.column}: {r.rule}" for r in bad))
+        raise CriticalRuleFailed("; ".join(
+            f"{r.layer}.{r.table_name}.{r.column}: {r.rule}" for r in bad))

@@ -305,11 +305,11 @@ RULES = [
 ]
 
 
-def outcomes(chosen: list[tuple]) -> str:
+def outcomes(chosen: list[tuple], layer: str = "bronze", prefix: str = "") -> str:
     inner = " UNION ALL ".join(
-        f"SELECT '{table}' AS table_name, 'bronze' AS layer, '{label}' AS rule, "
+        f"SELECT '{table}' AS table_name, '{layer}' AS layer, '{label}' AS rule, "
         f"'{column}' AS \"column\", '{severity}' AS severity, count(*) AS evaluated_rows, "
-        f"count(*) FILTER ({bad}) AS failed_rows FROM {table}"
+        f"count(*) FILTER ({bad}) AS failed_rows FROM {prefix}{table}"
         for _, table, column, label, severity, bad in chosen)
     return f"SELECT *, failed_rows = 0 AS success FROM ({inner}) WHERE evaluated_rows > 0"
 
@@ -320,6 +320,9 @@ add("rules_range", outcomes([r for r in RULES if r[0] == "range"]))
 add("rules_allowed", outcomes([r for r in RULES if r[0] == "allowed"]))
 add("validate_table", outcomes([r for r in EXECUTED if r[1] == "student_assessment"]))
 add("validate_all", outcomes(EXECUTED))
+# The silver assessments carry the deadline under another name.
+add("validate_silver", outcomes(
+    [r for r in EXECUTED if r[1:3] != ("assessments", "date")], "silver", "silver_"))
 add("quality_summary", f"""
 SELECT bool_and(success) AS pipeline_success, count(*) AS total_expectations,
   count(*) FILTER (success) AS total_passed, count(*) FILTER (NOT success) AS total_failed,
@@ -396,6 +399,18 @@ FROM (SELECT {column} AS category,
 
 add("drift_categorical", shares("events", "event_type", "ts < TIMESTAMP '2024-01-16'"))
 add("drift_final_result", shares("student_info", "final_result", "code_presentation < '2000'"))
+DRIFT_SHARES = " UNION ALL ".join(f"""
+  SELECT 'student_info' AS table_name, '{c}' AS "column", 'categorical' AS kind, max(drift_pct) AS d,
+    5 AS allowed FROM ({shares("student_info", c, "code_presentation < '2000'")})"""
+    for c in ("gender", "final_result"))
+add("rules_drift", f"""
+SELECT table_name, "column", kind, {rnd("d", 6)} AS drift, CAST(allowed AS DOUBLE) AS allowed,
+  COALESCE(d > allowed, FALSE) AS exceeds
+FROM ({DRIFT_SHARES} UNION ALL
+  SELECT 'student_vle', 'sum_click', 'numeric', abs(c - m) / nullif(s, 0), 3
+  FROM (SELECT avg(sum_click) FILTER (code_presentation < '2000') AS m,
+    stddev_pop(sum_click) FILTER (code_presentation < '2000') AS s,
+    avg(sum_click) FILTER (code_presentation >= '2000') AS c FROM student_vle))""")
 add("drift_numeric", f"""
 SELECT {rnd("m", 6)} AS baseline_mean, {rnd("s", 6)} AS baseline_std, {rnd("c", 6)} AS current_mean,
   {rnd("abs(c - m) / nullif(s, 0)", 6)} AS drift_z,

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import argparse
+import json
 import time
+from collections.abc import Collection, Mapping
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakevault.operators import anomaly, rules
 from lakevault.plans import MODELS, Model, Tables, business, metrics, quality, rulebook
@@ -34,15 +37,18 @@ def store_model(warehouse: Warehouse, m: Model, batch: DataFrame) -> None:
         warehouse.append_versions(batch, m.layer, m.name, m.key[0])
 
 
-def refresh_models(warehouse: Warehouse, load_ts: datetime, all_versions: bool = False) -> Tables:
-    """Build and store every model in declaration order; later models read the stored ones.
+def refresh_models(warehouse: Warehouse, load_ts: datetime, all_versions: bool = False,
+                   stored: Mapping[str, DataFrame] | None = None,
+                   layers: Collection[str] | None = None) -> Tables:
+    """Build and store the models (of some layers) in declaration order; later models read the
+    stored ones, at first bronze or what ``stored`` has.
 
     Each stored table is a lineage cut: a model used by several others is computed once, and a
     lost executor costs one model's tasks, not the chain behind it.
     """
-    frames = {name: warehouse.read("bronze", name) for name in BY_TABLE}
+    frames = dict(stored or {name: warehouse.read("bronze", name) for name in BY_TABLE})
     for m in MODELS.values():
-        if m.kind == "view":
+        if m.kind == "view" or layers is not None and m.layer not in layers:
             continue
         store_model(warehouse, m, m.build(Tables(frames, load_ts, all_versions)))
         frames[m.name] = warehouse.read(m.layer, m.name)
@@ -50,30 +56,52 @@ def refresh_models(warehouse: Warehouse, load_ts: datetime, all_versions: bool =
 
 
 def run(spark: SparkSession, data_dir: str, root: str, load_ts: datetime | None = None,
-        fail_on_critical: bool = False) -> dict[str, LoadResult]:
-    """One pipeline run over the CSV files of ``data_dir``; everything lands under ``root``."""
+        fail_on_critical: bool = True, config: Mapping | None = None) -> dict[str, LoadResult]:
+    """One pipeline run over the CSV files of ``data_dir``; everything lands under ``root``.
+
+    With the gate on (the default) a critical rule that fails on bronze stops the run before any
+    model is built, and one that fails on silver before anything behind silver is; the stored
+    models stay as the last good run left them. ``config`` has the thresholds of the detectors,
+    ``sources`` (files by source) and ``multi_line`` (sources whose cells may hold line breaks).
+    """
     started = time.monotonic()
     load_ts = load_ts or datetime.now(UTC)
+    config = config or {}
     warehouse = Warehouse(spark, root)
     audit = AuditLog(spark, f"{root.rstrip('/')}/audit")
 
-    loaded = load_all_tables(spark, warehouse, data_dir, load_ts, audit.log)
+    loaded = load_all_tables(spark, warehouse, data_dir, load_ts, audit.log,
+                             config.get("sources"), config.get("multi_line", ()))
     missing = [name for name in BY_TABLE if not warehouse.exists("bronze", name)]
     if missing:
         raise RuntimeError(f"no bronze data for {missing}")
-    t = refresh_models(warehouse, load_ts)
 
-    base = quality.raw_tables(t)
-    warehouse.overwrite(rules.validate_all(base, rulebook.EXECUTED), "gold", "rule_results")
+    def validated(name: str, outcomes: DataFrame) -> DataFrame:
+        warehouse.overwrite(outcomes, "gold", f"rule_results_{name}")
+        results = warehouse.read("gold", f"rule_results_{name}")
+        audit.log("validate", name, rules.summarize(results).first().asDict())
+        if fail_on_critical:
+            rules.require_critical(results)
+        return results
+
+    bronze = {name: warehouse.read("bronze", name) for name in BY_TABLE}
+    checked = validated("bronze", rules.validate_all(
+        quality.raw_tables(Tables(bronze, load_ts)), rulebook.EXECUTED))
+    t = refresh_models(warehouse, load_ts, layers=["silver"])
+    results = checked.unionByName(validated("silver", quality.validate_silver(t)))
+    silver = {m.name: t[m.name] for m in MODELS.values() if m.layer == "silver"}
+    t = refresh_models(warehouse, load_ts, stored={**bronze, **silver},
+                       layers={m.layer for m in MODELS.values()} - {"silver"})
+    warehouse.overwrite(results, "gold", "rule_results")
     results = warehouse.read("gold", "rule_results")
-    audit.log("validate", "bronze", rules.summarize(results).first().asDict())
 
     flags = anomaly.detect_all(load_ts, t["student_vle"], t["student_assessment"],
-                               t["student_registration"])
-    warehouse.append(flags, "gold", "anomaly_flags")
-    warehouse.overwrite(
-        anomaly.summary(load_ts, t["student_vle"], t["student_assessment"],
-                        t["student_registration"]), "gold", "anomaly_summary")
+                               t["student_registration"], config.get("anomaly"))
+    day = f"{load_ts:%Y%m%d}"
+    warehouse.replace_run(flags, "gold", "anomaly_flags", day)
+    mine = warehouse.read("gold", "anomaly_flags").filter(
+        F.col("detected_at") == F.lit(load_ts).cast("timestamp"))
+    warehouse.overwrite(anomaly.count_flags(mine), "gold", "anomaly_summary")
     counts = warehouse.read("gold", "anomaly_summary")
     audit.log("anomaly_detected", "student_vle, student_assessment",
               {r["anomaly_type"]: r["count"] for r in counts.collect()})
@@ -92,8 +120,6 @@ def run(spark: SparkSession, data_dir: str, root: str, load_ts: datetime | None
         "gold", "rpt_quality_metrics", metrics.METRIC_KEY)
     warehouse.upsert_daily(business.bv_quality_metrics(t, run_date), "bv", "bv_quality_metrics",
                            metrics.METRIC_KEY)
-    if fail_on_critical:
-        rules.require_critical(results)
     return loaded
 
 
@@ -101,11 +127,17 @@ def main() -> None:
     parser = argparse.ArgumentParser(description="Run the whole pipeline over a folder of CSVs.")
     parser.add_argument("data_dir")
     parser.add_argument("warehouse")
-    parser.add_argument("--fail-on-critical", action="store_true")
+    parser.add_argument("--no-gate", action="store_true",
+                        help="go on when a critical rule fails")
+    parser.add_argument("--config", help="JSON file of thresholds and source files")
     args = parser.parse_args()
     spark = get_session()
+    config = None
+    if args.config:
+        with open(args.config, encoding="utf-8") as f:
+            config = json.load(f)
     for source, (rows, errors) in run(spark, args.data_dir, args.warehouse,
-                                      fail_on_critical=args.fail_on_critical).items():
+                                      fail_on_critical=not args.no_gate, config=config).items():
         print(f"{source:22s} {rows:>14,}  {'; '.join(errors) or 'ok'}")
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakevault.operators import anomaly
-from lakevault.operators.incremental import newer_than_stored, upsert_by_key
 from lakevault.operators.rules import pass_rate, summarize_tables
 
 METRIC_KEY = ["run_date", "table_name", "layer"]
@@ -46,16 +45,18 @@ def quality_metrics(results: DataFrame, counts: DataFrame, tests: DataFrame, run
     """Metrics row per (run_date, table, layer) of one run.
 
     ``results`` are rule outcomes, ``counts`` the anomaly summary, ``tests`` the model tests;
-    tests count for the table their silver model cleans. All inputs hold a few rows per table.
+    anomalies and tests count for the bronze table they look at or whose model they test. All inputs
+    hold a few rows per table.
     """
     table = F.regexp_replace("model", "^silver_", "")
     per_table = tests.groupBy(table.alias("table_name")).agg(
         F.count_if("success").alias("dbt_tests_passed"),
         F.count_if(~F.col("success")).alias("dbt_tests_failed"))
+    bronze = F.lit("bronze").alias("layer")
     joined = (
         summarize_tables(results)
-        .join(anomaly_counts(counts), "table_name", "left")
-        .join(per_table, "table_name", "left")
+        .join(anomaly_counts(counts).select("*", bronze), ["table_name", "layer"], "left")
+        .join(per_table.select("*", bronze), ["table_name", "layer"], "left")
         .na.fill(0)
     )
     detected = F.col("click_anomalies") + F.col("score_anomalies") + F.col("temporal_anomalies")
@@ -67,11 +68,6 @@ def quality_metrics(results: DataFrame, counts: DataFrame, tests: DataFrame, run
     }).select(*METRIC_COLUMNS)
 
 
-def store_metrics(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Metrics table after a run: only rows newer than the last stored day enter."""
-    return upsert_by_key(target, newer_than_stored(batch, target), METRIC_KEY)
-
-
 def measured(tables, detected_at: datetime, run_date: date, results: DataFrame,
              tests: DataFrame) -> DataFrame:
     """Metrics of the current base tables."""

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.operators import integrity
+from lakevault import functions as L
+from lakevault.operators import integrity, rules
 from lakevault.plans import rulebook
 from lakevault.plans.bronze import FINAL_RESULTS
 from lakevault.plans.catalog import MODELS, Tables
@@ -132,3 +133,9 @@ def raw_tables(t: Tables) -> Mapping[str, DataFrame]:
     names = ["student_info", "student_assessment", "student_vle", "student_registration",
              "assessments", "courses", "vle"]
     return {n: t[n] for n in names}
+
+
+def validate_silver(t: Tables) -> DataFrame:
+    """The executed rules on the silver models, as far as these carry the columns."""
+    tables = {name: t[f"silver_{name}"] for name in raw_tables(t)}
+    return rules.validate_all(tables, rules.applicable(tables, rulebook.EXECUTED), "silver")

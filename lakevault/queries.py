@@ -388,6 +388,17 @@ def drift_final_result(g: Given) -> DataFrame:
     return rounded(out, "baseline_pct", "current_pct", "drift_pct")
 
 
+@query
+def rules_drift(g: Given) -> DataFrame:
+    """The declared drift checks: presentations and click days of the earlier half against the
+    later."""
+    early = {"student_info": F.col("code_presentation") < "2000",
+             "student_vle": F.col("code_presentation") < "2000"}
+    loads = [{name: getattr(g, name).filter(c if first else ~c) for name, c in early.items()}
+             for first in (True, False)]
+    return rounded(drift.run(*loads, rulebook.RULES.drift), "drift")
+
+
 @query
 def drift_numeric(g: Given) -> DataFrame:
     out = drift.numeric(*g.drift_frames, "value", 3.0)
@@ -404,6 +415,11 @@ def validate_all(g: Given) -> DataFrame:
     return _results(g.tables())
 
 
+@query
+def validate_silver(g: Given) -> DataFrame:
+    return quality.validate_silver(g.tables())
+
+
 @query
 def quality_summary(g: Given) -> DataFrame:
     return rules.summarize(_results(g.tables()))

@@ -92,9 +92,10 @@ class Warehouse:
             if file not in used and file not in keep:
                 fs.delete(self._fs(f"{folder}/{file}")[1], True)
 
-    def _write(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> str:
+    def _write(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = (),
+               kind: str = "segment") -> str:
         """A new segment, not yet part of the table."""
-        segment = f"segment-{uuid.uuid4().hex}"
+        segment = f"{kind}-{uuid.uuid4().hex}"
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(f"{self.path(layer, name)}/{segment}")
         return segment
@@ -125,6 +126,11 @@ class Warehouse:
         segment = self._write(df, layer, name)
         self._commit(layer, name, [*self._segments(layer, name), segment])
 
+    def replace_run(self, df: DataFrame, layer: str, name: str, run: str) -> None:
+        """Add the rows of a run in place of those that an earlier attempt at this run stored."""
+        others = [s for s in self._segments(layer, name) if not s.startswith(f"run-{run}-")]
+        self._commit(layer, name, [*others, self._write(df, layer, name, kind=f"run-{run}")])
+
     def upsert(self, batch: DataFrame, layer: str, name: str, key: Sequence[str]) -> None:
         """Replace rows with a matching key, insert the others. Only parts of the table that hold
         a key of the batch are read and written; which these are is one number of at most

@@ -8,6 +8,7 @@ import pytest
 
 from lakevault import pipeline
 from lakevault.given import Given
+from lakevault.operators import rules
 from lakevault.operators.rules import CriticalRuleFailed
 from lakevault.plans import MODELS
 from lakevault.schemas import SPECS
@@ -32,7 +33,7 @@ def csv_dir(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def first_run(spark, csv_dir, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("wh"))
-    loaded = pipeline.run(spark, csv_dir, root, datetime(2024, 1, 1, 5))
+    loaded = pipeline.run(spark, csv_dir, root, datetime(2024, 1, 1, 5), fail_on_critical=False)
     return root, loaded
 
 
@@ -51,7 +52,7 @@ def test_every_model_is_stored(spark, first_run):
         if m.kind != "view":
             assert wh.read(m.layer, m.name).count() > 0, m.name
     metrics = wh.read("gold", "rpt_quality_metrics")
-    assert metrics.count() == 7 and metrics.filter("pass_rate < 100").count() > 0
+    assert metrics.count() == 14 and metrics.filter("pass_rate < 100").count() > 0
     assert wh.read("bv", "bv_quality_metrics").count() == 1
     assert wh.read("gold", "anomaly_flags").count() > 0
     assert wh.read("bronze", "ingestion_log").count() == 7
@@ -71,20 +72,50 @@ def test_second_run_changes_no_satellite_and_no_metrics_of_the_day(spark, csv_di
     names = ["sat_student_details", "sat_assessment_details", "sat_student_assessment_result"]
     before = {n: wh.read("dv", n).count() for n in names}
     hubs = wh.read("dv", "hub_student").count()
-    again = pipeline.run(spark, csv_dir, root, datetime(2024, 1, 1, 9))
+    flags = wh.read("gold", "anomaly_flags").count()
+    again = pipeline.run(spark, csv_dir, root, datetime(2024, 1, 1, 9), fail_on_critical=False)
     assert again == loaded
     assert {n: wh.read("dv", n).count() for n in names} == before
     assert wh.read("dv", "hub_student").count() == hubs
     assert wh.read("dv", "hub_student").select("dv_load_date").distinct().count() == 1
-    assert wh.read("gold", "rpt_quality_metrics").count() == 7
+    assert wh.read("gold", "rpt_quality_metrics").count() == 14
+    assert wh.read("gold", "anomaly_flags").count() == flags
     actions = {r.action for r in AuditLog(spark, f"{root}/audit").read_today().collect()}
     assert actions == {"ingest", "validate", "anomaly_detected"}
 
 
-def test_gate_stops_the_run(spark, csv_dir, tmp_path):
-    with pytest.raises(CriticalRuleFailed):
-        pipeline.run(spark, csv_dir, str(tmp_path / "wh"), datetime(2024, 1, 1),
-                     fail_on_critical=True)
+def test_gate_stops_the_run_before_any_model(spark, csv_dir, tmp_path):
+    root = str(tmp_path / "wh")
+    with pytest.raises(CriticalRuleFailed) as e:
+        pipeline.run(spark, csv_dir, root, datetime(2024, 1, 1))
+    wh = Warehouse(spark, root)
+    failed = wh.read("gold", "rule_results_bronze").filter(
+        "severity = 'critical' and not success").collect()
+    assert failed and all(f"bronze.{r.table_name}.{r.column}: {r.rule}" in str(e.value) for r in failed)
+    for m in MODELS.values():
+        assert not wh.exists(m.layer, m.name)
+
+
+def test_gate_behind_silver(spark, csv_dir, tmp_path, monkeypatch):
+    root, real = str(tmp_path / "wh"), rules.require_critical
+
+    def only_silver(results):
+        real(results.filter("layer = 'silver'"))
+
+    monkeypatch.setattr(rules, "require_critical", only_silver)
+    with pytest.raises(CriticalRuleFailed, match="silver"):
+        pipeline.run(spark, csv_dir, root, datetime(2024, 1, 1))
+    wh = Warehouse(spark, root)
+    assert {m.layer for m in MODELS.values() if wh.exists(m.layer, m.name)} == {"silver"}
+
+
+def test_configured_thresholds(spark, csv_dir, tmp_path):
+    root = str(tmp_path / "wh")
+    pipeline.run(spark, csv_dir, root, datetime(2024, 1, 1), fail_on_critical=False, config={
+        "anomaly": {"click_threshold": {"daily_max": 1, "z_score": 100.0}}})
+    flags = Warehouse(spark, root).read("gold", "anomaly_flags")
+    reasons = {r.reason for r in flags.filter("anomaly_type = 'click_outlier'").collect()}
+    assert reasons == {"exceeds_daily_max_1"}
 
 
 def test_absent_sources_stop_the_run(spark, tmp_path):
