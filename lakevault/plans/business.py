@@ -9,25 +9,40 @@ from pyspark.sql import functions as F
 
 from lakevault import functions as L
 from lakevault.operators import engagement
-from lakevault.operators.incremental import latest_version
+from lakevault.operators.incremental import HASHDIFF, LOAD_DATE, latest_version
 from lakevault.plans.catalog import Tables, model
 from lakevault.plans.gold import DROPOUT_CLICKS, assessment_totals, engagement_totals, or_zero
 
 
-def _versions(t: Tables, sat: str, key: str) -> DataFrame:
-    """Latest satellite rows, or all of them when the tables ask for every version."""
-    return t[sat] if t.all_versions else latest_version(t[sat], key)
+def _bytes(df: DataFrame) -> DataFrame:
+    """Hash keys as 32 bytes instead of 64 hex characters, for everything that shuffles."""
+    return df.withColumns({c: F.unhex(c) for c in df.columns if c.startswith("hk_")})
+
+
+def _hex(df: DataFrame) -> DataFrame:
+    """Hash keys as they are stored."""
+    return df.withColumns({c: F.lower(F.hex(c)) for c in df.columns if c.startswith("hk_")})
+
+
+def _latest(t: Tables, sat: str, key: str, *columns: str) -> DataFrame:
+    """Key and some columns of the newest satellite rows; the hashdiff settles ties as bytes."""
+    rows = _bytes(t[sat].select(key, *columns, LOAD_DATE, HASHDIFF))
+    return latest_version(rows, key).select(key, *columns)
+
+
+def _versions(t: Tables, sat: str, key: str, *columns: str) -> DataFrame:
+    """As :func:`_latest`, or of all satellite rows when the tables ask for every version."""
+    return _bytes(t[sat].select(key, *columns)) if t.all_versions else _latest(t, sat, key, *columns)
 
 
 @model("bv", unique=("hk_course_offering",),
        non_null=("hk_course_offering", "code_module", "code_presentation"))
 def bv_course_offering(t: Tables) -> DataFrame:
-    details = _versions(t, "sat_course_offering_details", "hk_course_offering").select(
-        "hk_course_offering", "length", "presentation_start")
-    weights = _versions(t, "sat_assessment_details", "hk_assessment").select(
-        "hk_assessment", "assessment_type", "weight")
+    details = _versions(t, "sat_course_offering_details", "hk_course_offering", "length",
+                        "presentation_start")
+    weights = _versions(t, "sat_assessment_details", "hk_assessment", "assessment_type", "weight")
     per_offering = (
-        t["link_course_offering_assessment"].select("hk_course_offering", "hk_assessment")
+        _bytes(t["link_course_offering_assessment"].select("hk_course_offering", "hk_assessment"))
         .join(weights, "hk_assessment", "left")
         .groupBy("hk_course_offering")
         .agg(
@@ -37,8 +52,8 @@ def bv_course_offering(t: Tables) -> DataFrame:
         )
     )
     type_list = F.when(F.size("types") > 0, F.array_join("types", ", "))
-    return (
-        t["hub_course_offering"]
+    return _hex(
+        _bytes(t["hub_course_offering"])
         .join(details, "hk_course_offering", "left")
         .join(per_offering, "hk_course_offering", "left")
         .select(
@@ -50,15 +65,11 @@ def bv_course_offering(t: Tables) -> DataFrame:
 
 
 def _rollup(t: Tables, period: str) -> DataFrame:
-    """Hash keys travel through the shuffles as 32 bytes instead of 64 hex characters."""
     group = ["hk_student", "hk_course_offering"]
-    clicks = t["txn_student_vle_click"].select(
-        *[F.unhex(c).alias(c) for c in (*group, "hk_vle")], "date", "sum_click")
-    sites = _versions(t, "sat_vle_details", "hk_vle").select(
-        F.unhex("hk_vle").alias("hk_vle"), "activity_type")
-    out = engagement.rollup(clicks, sites, by=group, site_key="hk_vle", join_on=["hk_vle"],
-                            period=period, unique_sites=not t.all_versions)
-    return out.withColumns({c: F.lower(F.hex(c)) for c in group})
+    clicks = _bytes(t["txn_student_vle_click"].select(*group, "hk_vle", "date", "sum_click"))
+    sites = _versions(t, "sat_vle_details", "hk_vle", "activity_type")
+    return _hex(engagement.rollup(clicks, sites, by=group, site_key="hk_vle", join_on=["hk_vle"],
+                                  period=period, unique_sites=not t.all_versions))
 
 
 @model("bv", non_null=("hk_student", "date"))
@@ -74,15 +85,18 @@ def bv_engagement_weekly(t: Tables) -> DataFrame:
 @model("bv", non_null=("hk_student_assessment", "id_student", "id_assessment"))
 def bv_student_assessment(t: Tables) -> DataFrame:
     """Submissions; the two joins on the assessment key follow each other and share a shuffle."""
-    result = _versions(t, "sat_student_assessment_result", "hk_student_assessment").select(
-        "hk_student_assessment", "date_submitted", "is_banked", "score")
-    details = _versions(t, "sat_assessment_details", "hk_assessment").select(
-        "hk_assessment", "assessment_type", "deadline_day", "weight")
-    return (
-        t["link_student_assessment"].select("hk_student_assessment", "hk_student", "hk_assessment")
+    result = _versions(t, "sat_student_assessment_result", "hk_student_assessment",
+                       "date_submitted", "is_banked", "score")
+    details = _versions(t, "sat_assessment_details", "hk_assessment", "assessment_type",
+                        "deadline_day", "weight")
+    students = _bytes(t["hub_student"].select("hk_student", "id_student"))
+    assessments = _bytes(t["hub_assessment"].select("hk_assessment", "id_assessment"))
+    return _hex(
+        _bytes(t["link_student_assessment"].select(
+            "hk_student_assessment", "hk_student", "hk_assessment"))
         .join(result, "hk_student_assessment", "left")
-        .join(t["hub_student"].select("hk_student", "id_student"), "hk_student", "left")
-        .join(t["hub_assessment"].select("hk_assessment", "id_assessment"), "hk_assessment", "left")
+        .join(students, "hk_student", "left")
+        .join(assessments, "hk_assessment", "left")
         .join(details, "hk_assessment", "left")
         .select(
             "hk_student_assessment", "hk_student", "hk_assessment", "id_student", "id_assessment",
@@ -96,18 +110,20 @@ def bv_student_assessment(t: Tables) -> DataFrame:
 @model("bv", unique=("hk_student_enrollment",), non_null=("hk_student_enrollment", "id_student"))
 def bv_student_enrollment(t: Tables) -> DataFrame:
     """Enrolments with the student's latest details (per student) and enrolment state."""
-    details = latest_version(t["sat_student_details"], "hk_student").select(
-        "hk_student", "gender", "age_band", "highest_education", "disability", "region_hashed",
-        "imd_band_hashed", "studied_credits", "num_of_prev_attempts")
-    state = latest_version(t["sat_student_enrollment"], "hk_student_enrollment").select(
-        "hk_student_enrollment", "date_registration", "date_unregistration", "has_unregistered",
-        "final_result", "registration_timing")
-    offering = t["hub_course_offering"].select(
-        "hk_course_offering", "code_module", "code_presentation")
-    return (
-        t["link_student_enrollment"]
-        .select("hk_student_enrollment", "hk_student", "hk_course_offering")
-        .join(t["hub_student"].select("hk_student", "id_student"), "hk_student", "left")
+    details = _latest(
+        t, "sat_student_details", "hk_student", "gender", "age_band", "highest_education",
+        "disability", "region_hashed", "imd_band_hashed", "studied_credits",
+        "num_of_prev_attempts")
+    state = _latest(
+        t, "sat_student_enrollment", "hk_student_enrollment", "date_registration",
+        "date_unregistration", "has_unregistered", "final_result", "registration_timing")
+    offering = _bytes(t["hub_course_offering"].select(
+        "hk_course_offering", "code_module", "code_presentation"))
+    students = _bytes(t["hub_student"].select("hk_student", "id_student"))
+    return _hex(
+        _bytes(t["link_student_enrollment"].select(
+            "hk_student_enrollment", "hk_student", "hk_course_offering"))
+        .join(students, "hk_student", "left")
         .join(details, "hk_student", "left")
         .join(offering, "hk_course_offering", "left")
         .join(state, "hk_student_enrollment", "left")
@@ -130,10 +146,11 @@ def bv_student_performance(t: Tables) -> DataFrame:
     clicks = F.coalesce("lifetime_clicks", F.lit(0))
     dropout = F.coalesce(
         (F.col("final_result") == "Withdrawn") & (clicks < DROPOUT_CLICKS), F.lit(False))
-    return (
-        t["bv_student_enrollment"]
-        .join(engagement_totals(t["bv_engagement_weekly"], offering), offering, "left")
-        .join(assessment_totals(t["bv_student_assessment"], "hk_student"), "hk_student", "left")
+    return _hex(
+        _bytes(t["bv_student_enrollment"])
+        .join(engagement_totals(_bytes(t["bv_engagement_weekly"]), offering), offering, "left")
+        .join(assessment_totals(_bytes(t["bv_student_assessment"]), "hk_student"), "hk_student",
+              "left")
         .select(
             "hk_student_enrollment", "id_student", "code_module", "code_presentation",
             "final_result", "gender", "age_band", "disability", "num_of_prev_attempts",

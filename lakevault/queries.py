@@ -514,14 +514,16 @@ def anomaly_samples(g: Given) -> DataFrame:
 
 @query
 def audit_today(g: Given) -> DataFrame:
-    """Events written as JSON lines and read back for one day."""
+    """One day's events out of JSON lines, with blank and broken lines among them."""
     events = g.parquet("events").select(
         F.date_trunc("second", F.col("ts").cast("timestamp")).alias("timestamp"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("principal"),
         F.col("event_type").alias("action"),
         F.concat(F.lit("event/"), F.col("event_id").cast("string")).alias("resource"),
         F.col("props").alias("detail"))
-    return audit.on_day(audit.from_lines(audit.to_lines(events)), AUDIT_DAY)
+    lines = audit.to_lines(events)
+    noise = lines.select(F.explode(F.array(F.lit("  "), F.substring("value", 1, 25))).alias("value"))
+    return audit.on_day(audit.from_lines(lines.union(noise)), AUDIT_DAY)
 
 
 # --- metrics and dashboards ----------------------------------------------------------------
