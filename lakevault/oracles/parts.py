@@ -47,6 +47,7 @@ def percent(passed: str, evaluated: str) -> str:
             f"/ 100.0, 0) AS DECIMAL(5,2))")
 
 
+# Activity types by category, start months, classes and activity types.
 CATEGORY = """CASE
   WHEN activity_type IN ('forumng', 'glossary') THEN 'communication'
   WHEN activity_type IN ('oucontent', 'htmlactivity', 'page', 'subpage') THEN 'content'
@@ -171,7 +172,7 @@ BRONZE = {
     "bronze_vle@": "SELECT * FROM vle@",
     "bronze_student_info@": """
   SELECT * FROM student_info@
-  WHERE final_result IN ('Distinction', 'Fail', 'Pass', 'Withdrawn')""",
+  WHERE final_result IN ('Pass', 'Fail', 'Withdrawn', 'Distinction')""",
     "bronze_student_registration@": """
   SELECT *, date_unregistration IS NOT NULL AND date_unregistration <> 0 AS has_unregistered
   FROM student_registration@""",

@@ -150,8 +150,11 @@ FROM link_student_enrollment""")
 ASSERTED = ("'forumng','oucontent','homepage','resource','url','quiz','htmlactivity','glossary',"
             "'dataplus','questionnaire','repeatactivity','externalquiz','dualpane','folder',"
             "'sharedsubpage','page','subpage','oucollaborate','ouwiki','ouelluminate'")
-DECLARED_TYPES = ASSERTED.replace(",'oucollaborate','ouwiki','ouelluminate'", "")
-RESULTS = "'Distinction','Fail','Pass','Withdrawn'"
+DECLARED_TYPES = ("'forumng','oucontent','homepage','resource','url','quiz','htmlactivity',"
+                  "'glossary','dataplus','questionnaire','repeatactivity','externalquiz',"
+                  "'dualpane','folder','sharedsubpage','page','subpage'")
+# Fixed values, in the order they are declared.
+RESULTS = "'Pass','Fail','Withdrawn','Distinction'"
 
 
 def accepted(prefix: str) -> str:
@@ -160,7 +163,7 @@ SELECT 'invalid_final_result' AS check_name, id_student AS id, final_result AS v
 FROM {prefix}student_info WHERE final_result NOT IN ({RESULTS})
 UNION ALL
 SELECT 'invalid_assessment_type', id_assessment, assessment_type
-FROM {prefix}assessments WHERE assessment_type NOT IN ('CMA', 'Exam', 'TMA')
+FROM {prefix}assessments WHERE assessment_type NOT IN ('TMA', 'CMA', 'Exam')
 UNION ALL
 SELECT 'invalid_activity_type', id_site, activity_type
 FROM {prefix}vle WHERE activity_type NOT IN ({ASSERTED})"""
@@ -299,7 +302,7 @@ RULES = [
     ("allowed", "vle", "activity_type", "valid_activity_types", "warning",
      f"activity_type NOT IN ({DECLARED_TYPES})"),
     ("allowed", "assessments", "assessment_type", "valid_assessment_types", "critical",
-     "assessment_type NOT IN ('CMA', 'Exam', 'TMA')"),
+     "assessment_type NOT IN ('TMA', 'CMA', 'Exam')"),
     ("allowed", "student_assessment", "is_banked", "is_banked_boolean", "warning",
      "is_banked NOT IN (0, 1)"),
 ]

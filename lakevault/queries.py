@@ -28,6 +28,7 @@ from lakevault.operators.incremental import (
 from lakevault.plans import MODELS, Model, Tables, business, dashboards, metrics, quality, rulebook
 from lakevault.schemas import SPECS
 from lakevault.sources import audit
+from lakevault.sources.shared import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -294,9 +295,24 @@ def assert_unique(g: Given) -> DataFrame:
         g.registration_dup, "registration_dup", SPECS["studentRegistration"].pk))
 
 
+# What several models read: stored once for the queries that look at many models.
+VAULT_SHARED = ("student_vle", "student_assessment", "student_registration",
+                "bv_engagement_weekly", "bv_student_assessment", "bv_student_enrollment")
+MART_SHARED = ("student_vle", "student_assessment", "student_registration", "silver_student_vle",
+               "silver_student_assessment", "fact_engagement_summary")
+
+
+def _stored(base: dict, names: tuple[str, ...]) -> Tables:
+    """Tables of which the named ones are computed once and read from the shared folder."""
+    kept = dict(base)
+    for name in names:
+        kept[name] = stored(Tables(kept, LOAD_TS)[name], name)
+    return Tables(kept, LOAD_TS)
+
+
 @query
 def assert_non_null(g: Given) -> DataFrame:
-    return quality.assert_non_null(g.tables())
+    return quality.assert_non_null(_stored(g.base, VAULT_SHARED))
 
 
 def _results(t: Tables) -> DataFrame:
@@ -318,7 +334,7 @@ def model_tests(g: Given) -> DataFrame:
 
 
 def _with_history(g: Given) -> Tables:
-    return Tables(g.base | {"rpt_quality_metrics": lambda: g.metrics_history}, LOAD_TS)
+    return _stored({**g.base, "rpt_quality_metrics": lambda: g.metrics_history}, MART_SHARED)
 
 
 def _rule_group(g: Given, keep: Callable[[rules.Rule], bool]) -> DataFrame:
