@@ -2,18 +2,17 @@
 with temperature-calibrated probabilities.
 
 Word vectors. Every hashed word has a sparse ternary index vector, fixed by its hash. A word's
-vector is the sum of the index vectors of its neighbours over the whole corpus, at unit length
-(a task reads its documents one after the other, so a text's last word also meets the next first).
+vector is the sum of the index vectors of its neighbours over the whole corpus, at unit length.
 Each task adds up a table of ``BUCKETS`` x ``DIMENSIONS`` and sends it in blocks; blocks are summed
 in two steps, by (block, salt) and by block. The table's size is fixed, so it is broadcast. Besides
 words in lower case their shapes are words too: ``Th###`` has the shape ``Aa#``.
 
-A document is the mean of its words' vectors, the mean of its shapes' vectors, and four counts:
-length, word length, and how many words and lines are distinct.
+A document is the mean of its words' vectors, the mean of its shapes' vectors, and five counts:
+length, word length, how many words and lines are distinct, and how many words follow themselves.
 
-The network (numpy, Adam) is fitted on the driver to at most ``SAMPLE`` labelled rows, those of the
-smallest hash of their key; a fifth of these is set aside to fit the temperature. Corpus statistics
-and scores cover every document.
+The network (numpy, Adam) is fitted on the driver to at most ``SAMPLE`` labelled keys, those of the
+smallest hash; of documents with one key the least text counts. A fifth of these is set aside to
+fit the temperature. Corpus statistics and scores cover every document.
 
 Defined results: a null text counts as empty; an empty text is scored by its counts alone;
 repeated rows are scored each for itself; of several labels for one key the least counts, null
@@ -39,7 +38,7 @@ EPOCHS = 40
 _SALTS = 32
 _ROWS = 256
 _SOME = 1 << 17
-FEATURES = 2 * DIMENSIONS + 4
+FEATURES = 2 * DIMENSIONS + 5
 
 
 def _classes() -> bytes:
@@ -74,12 +73,18 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places.astype(np.int64), rng.choice((-1.0, 1.0), (BUCKETS, NONZERO))
 
 
-def _add_neighbours(table: np.ndarray, ids: np.ndarray, places, signs) -> None:
-    for a in range(0, len(ids) - 1, _SOME):
-        some = ids[a:a + _SOME + 1]
-        for word, beside in ((some[:-1], some[1:]), (some[1:], some[:-1])):
-            at = (word[:, None] * DIMENSIONS + places[beside]).ravel()
-            table += np.bincount(at, signs[beside].ravel(), BUCKETS * DIMENSIONS)
+def _add_neighbours(table: np.ndarray, texts: list[np.ndarray], places, signs) -> None:
+    """Adds to each word's vector the index vectors of the words beside it in its text."""
+    ids = np.concatenate(texts)
+    inside = np.ones(max(len(ids) - 1, 0), bool)
+    ends = np.cumsum([len(t) for t in texts])[:-1]
+    inside[ends[(ends > 0) & (ends < len(ids))] - 1] = False
+    before = np.flatnonzero(inside)
+    for a in range(0, len(before), _SOME):
+        at = before[a:a + _SOME]
+        for word, beside in ((ids[at], ids[at + 1]), (ids[at + 1], ids[at])):
+            cells = (word[:, None] * DIMENSIONS + places[beside]).ravel()
+            table += np.bincount(cells, signs[beside].ravel(), BUCKETS * DIMENSIONS)
 
 
 def _tables(batches):
@@ -92,7 +97,7 @@ def _tables(batches):
     def flush():
         nonlocal size
         if held:
-            _add_neighbours(table, np.concatenate(held), places, signs)
+            _add_neighbours(table, held, places, signs)
         held.clear()
         size = 0
 
@@ -153,7 +158,7 @@ def features(text: str | None, vectors: np.ndarray) -> np.ndarray:
     lines = [s for s in (text or "").split("\n") if s.strip()]
     n = max(len(words), 1)
     counts = (np.log1p(len(words)), np.log1p(sum(map(len, words)) / n), len(set(words)) / n,
-              len(set(lines)) / max(len(lines), 1))
+              len(set(lines)) / max(len(lines), 1), (ids[1:] == ids[:-1]).sum() / n)
     return np.concatenate([_mean(vectors, ids), _mean(vectors, shapes), counts])
 
 
@@ -242,8 +247,10 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, label: str =
         F.col(f"`{key}`").alias("key")).agg(F.min(F.col(f"`{label}`")).cast("int").alias("label"))
     chosen = known.filter("key is not null and label is not null").orderBy(
         F.xxhash64("key"), "key").limit(sample)  # the documented bound: a few hundred kB to send
-    fitted = rows.drop("held_out").join(F.broadcast(chosen), "key").select("label", "t").mapInArrow(
-        _features(vectors), "label int, x binary").limit(2 * sample).collect()
+    one_each = rows.join(F.broadcast(chosen), "key").groupBy("key", "label").agg(
+        F.min(F.coalesce("t", F.lit(""))).alias("t"))
+    fitted = one_each.select("label", "t").mapInArrow(
+        _features(vectors), "label int, x binary").collect()
     fitted.sort(key=lambda r: (r["label"], bytes(r["x"])))
     x = np.array([np.frombuffer(r["x"], "<f4") for r in fitted]).reshape(-1, FEATURES)
     network = spark.sparkContext.broadcast(train(x, np.array([r["label"] for r in fitted])))
