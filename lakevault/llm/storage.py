@@ -1,46 +1,21 @@
-"""The folder that driver and executors share, and tables written there to cut lineage."""
+"""Cutting lineage in the folder that all machines share, and free column names."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from lakevault.sources.shared import new_path, shared_folder, stored
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``. Where a local session names none, one is made;
-    a cluster without one is refused, since its machines would not see each other's files."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="shared-")
-    sc.setCheckpointDir(made)
-    return made
+__all__ = ["cut", "free_name", "new_path", "shared_folder", "stored"]
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, computed now and kept in the shared folder: a lost executor costs nothing
-    that came before."""
+    """The same rows, computed now and kept as a checkpoint in the shared folder: a lost executor
+    costs nothing that came before."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """As ``cut``, as a Parquet table: columns can be read apart."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def free_name(taken, stem: str) -> str:
     """A column name that none of ``taken`` has, in any case."""
     taken = {c.lower() for c in taken}
