@@ -1,8 +1,10 @@
 """Byte-level BPE encoding by a global shuffle of distinct words, and decoding.
 
-A text is cut into pre-tokens ("words"), each encoded by itself. Sending every occurrence through
-a shuffle would move the corpus several times over, so occurrences are aggregated first: a task
-takes documents in chunks of about ``CHUNK`` characters and
+A text is cut into words, each of whole pre-tokens: at single blanks between two other characters,
+where every pre-token pattern of this kind (an optional blank leads a match) starts a match; a text
+with other blanks is cut into its pre-tokens. Sending every occurrence through a shuffle would move
+the corpus several times over, so occurrences are aggregated first: a task takes documents in
+chunks of about ``CHUNK`` characters and
 
 * sends each distinct word of a chunk once, to the bucket of its hash. A bucket encodes each of its
   words once, however many chunks ask, and answers every chunk;
@@ -33,18 +35,29 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lakevault.llm.packing import pack, slices, unpack
+from lakevault.llm.chunks import chunks, named
+from lakevault.llm.packing import (
+    pack,
+    pack_parts,
+    slices,
+    squeeze,
+    unpack,
+    unpack_parts,
+    unsqueeze,
+)
 from lakevault.llm.storage import free_name
 
-CHUNK = 16 << 20
+CHUNK = 6 << 20
 _LONG = 4 << 20
 _SOME = 1 << 18
+#: As many words of a chunk have numbers of one or two bytes.
+_SHORT = 1 << 14
+_BLANKS = regex.compile(r"\s\s")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -54,36 +67,26 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 def words(text: str | None, pattern):
-    """Lists of a text's pre-tokens in order; a very long text comes in several lists."""
+    """Lists of a text's words in order, as keys: a word that follows a blank is itself, without
+    the blank; any other has a blank before it, which no key of the first kind begins with. A very
+    long text of pre-tokens comes in several lists."""
     if not text:
         return
-    if len(text) < _LONG:
-        yield pattern.findall(text)
-        return
-    found = (m.group() for m in pattern.finditer(text))
-    while some := list(islice(found, _SOME)):
-        yield some
-
-
-def _chunks(batches, size: int):
-    """Arrow batches gathered until their texts have ``size`` characters."""
-    held, chars = [], 0
-    for batch in batches:
-        held.append(batch)
-        chars += sum(len(t) for t in batch.column(batch.num_columns - 1).to_pylist() if t)
-        if chars >= size:
-            yield pa.Table.from_batches(held)
-            held, chars = [], 0
-    if held:
-        yield pa.Table.from_batches(held)
+    if not (text[0].isspace() or text[-1].isspace() or _BLANKS.search(text)):
+        found = text.split(" ")
+        found[0] = " " + found[0]
+        yield found
+    elif len(text) < _LONG:
+        yield [" " + w for w in pattern.findall(text)]
+    else:
+        found = (" " + m.group() for m in pattern.finditer(text))
+        while some := list(islice(found, _SOME)):
+            yield some
 
 
-def _named(distinct: list[bytes]) -> bytes:
-    h = xxhash.xxh3_128()
-    for word in distinct:
-        h.update(len(word).to_bytes(8, "little"))
-        h.update(word)
-    return h.digest()
+def spelled(key: str) -> str:
+    """The characters that a key of ``words`` stands for."""
+    return key[1:] if key[:1] == " " else " " + key
 
 
 def _bucket(word: bytes, buckets: int) -> int:
@@ -94,29 +97,29 @@ def _requests(pattern_text: str, buckets: int, size: int):
     """Chunk -> one row for each bucket: its distinct words, in order of first occurrence."""
     def run(batches):
         pattern = regex.compile(pattern_text)
-        for chunk in _chunks(batches, size):
+        for chunk in chunks(batches, size):
             seen: dict[str, None] = {}
             for text in chunk.column(chunk.num_columns - 1).to_pylist():
                 for some in words(text, pattern):
                     seen.update(dict.fromkeys(some))
             distinct = [w.encode() for w in seen]
-            name = _named(distinct)
+            name = named(distinct)
             by: dict[int, list[bytes]] = defaultdict(list)
             for w in distinct:
                 by[_bucket(w, buckets)].append(w)
             yield pa.RecordBatch.from_arrays([
                 pa.array(list(by), pa.int32()), pa.array([name] * len(by), pa.binary()),
                 pa.array([pack([len(w) for w in ws]) for ws in by.values()], pa.binary()),
-                pa.array([b"".join(ws) for ws in by.values()], pa.binary()),
+                pa.array([squeeze(b"".join(ws)) for ws in by.values()], pa.binary()),
             ], names=["bucket", "chunk", "lengths", "blob"])
     return run
 
 
-def _answers(ranks, width: str):
+def _answers(ranks, pattern_text: str, width: str):
     """Bucket rows, sorted by bucket -> the ids of their words; each distinct word once."""
     def run(batches):
-        core = tiktoken.Encoding("words", pat_str=r"\s", mergeable_ranks=ranks.value,
-                                 special_tokens={})._core_bpe
+        coder = tiktoken.Encoding("words", pat_str=pattern_text, mergeable_ranks=ranks.value,
+                                  special_tokens={})
         size = np.dtype(width).itemsize
         at, known = None, {}
         for batch in batches:
@@ -125,13 +128,14 @@ def _answers(ranks, width: str):
                 if row["bucket"] != at:
                     at, known = row["bucket"], {}
                 got = []
-                for w in slices(row["blob"], unpack(row["lengths"])):
+                for w in slices(unsqueeze(row["blob"]), unpack(row["lengths"])):
                     ids = known.get(w)
                     if ids is None:
-                        ids = known[w] = np.array(core.encode_single_piece(w), width).tobytes()
+                        ids = known[w] = np.array(
+                            coder.encode_ordinary(spelled(w.decode())), width).tobytes()
                     got.append(ids)
                 lengths.append(pack([len(g) // size for g in got]))
-                blobs.append(b"".join(got))
+                blobs.append(squeeze(b"".join(got)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("bucket"), batch.column("chunk"), pa.array(lengths, pa.binary()),
                  pa.array(blobs, pa.binary())], names=["bucket", "chunk", "lengths", "blob"])
@@ -139,31 +143,34 @@ def _answers(ranks, width: str):
 
 
 def _positions(pattern_text: str, buckets: int, size: int):
-    """Chunk -> one row for each document: what it carries, and its words' numbers. The first also
-    has the chunk's order: where each number's word stands in the answers, bucket by bucket."""
+    """Chunk -> one row for each document: what it carries, and its words' numbers. A word's number
+    is its place in the answers, bucket by bucket, after the short numbers of the most frequent
+    words; the first row also has the places of these."""
     def run(batches):
         pattern = regex.compile(pattern_text)
-        for chunk in _chunks(batches, size):
+        for chunk in chunks(batches, size):
             numbers: dict[str, int] = defaultdict(count().__next__)
             found = []
             for text in chunk.column(chunk.num_columns - 1).to_pylist():
-                found.append(np.concatenate([np.zeros(0, np.uint32), *(
-                    np.fromiter(map(numbers.__getitem__, some), np.uint32, len(some))
-                    for some in words(text, pattern))]))
+                parts = [np.fromiter(map(numbers.__getitem__, some), np.uint32, len(some))
+                         for some in words(text, pattern)]
+                found.append(parts[0] if len(parts) == 1 else np.concatenate(
+                    [np.zeros(0, np.uint32), *parts]))
             distinct = [w.encode() for w in numbers]
             every = np.concatenate(found)
-            by_count = np.argsort(-np.bincount(every, minlength=len(distinct)), kind="stable")
-            rank = np.empty(len(distinct), np.uint32)
-            rank[by_count] = np.arange(len(distinct), dtype=np.uint32)
+            ends = np.cumsum([len(f) for f in found])
             place = np.empty(len(distinct), np.uint32)
             place[np.argsort([_bucket(w, buckets) for w in distinct], kind="stable")] = np.arange(
                 len(distinct), dtype=np.uint32)
+            short = np.argsort(-np.bincount(every, minlength=len(distinct)), kind="stable")[:_SHORT]
+            number = place + np.uint32(len(short))
+            number[short] = np.arange(len(short), dtype=np.uint32)
             orders = [None] * len(found)
-            orders[0] = place[by_count].astype("<u4").tobytes()
+            orders[0] = place[short].astype("<u4").tobytes()
             carried = chunk.drop_columns([chunk.column_names[-1]]).combine_chunks()
             out = pa.Table.from_arrays(
-                [pa.array([_named(distinct)] * len(found), pa.binary()),
-                 pa.array([pack(rank[f]) for f in found], pa.binary()),
+                [pa.array([named(distinct)] * len(found), pa.binary()),
+                 pa.array(pack_parts(number[every], ends), pa.binary()),
                  pa.array(orders, pa.binary()), *carried.columns],
                 names=["chunk", "numbers", "order", *carried.column_names])
             yield from out.combine_chunks().to_batches(max_chunksize=2000)
@@ -180,15 +187,16 @@ def _assemble(width: str, schema: pa.Schema):
             got[row["bucket"]] = row
         table: list[bytes] = []
         for _, row in sorted(got.items()):
-            ids = np.frombuffer(row["blob"], width).astype("<u4").tobytes()
+            ids = np.frombuffer(unsqueeze(row["blob"]), width).astype("<u4").tobytes()
             table += slices(ids, unpack(row["lengths"]) * 4)
         order = next(o for o in docs.column("order").to_pylist() if o is not None)
         order = np.frombuffer(order, "<u4")
-        if len(order) != len(table):
+        numbers = unpack_parts(docs.column("numbers").to_pylist())
+        most = max((int(n.max()) for n in numbers if len(n)), default=-1)
+        if most >= len(order) + len(table) or len(order) and int(order.max()) >= len(table):
             raise ValueError("the documents changed between two readings; store them first")
-        by_rank = [table[i] for i in order.tolist()]
-        ids = [b"".join(map(by_rank.__getitem__, unpack(n.as_py()).tolist()))
-               for n in docs.column("numbers")]
+        by_number = [*(table[i] for i in order.tolist()), *table]
+        ids = [b"".join(map(by_number.__getitem__, n.tolist())) for n in numbers]
         return pa.Table.from_arrays(
             [*(docs.column(3 + k) for k in range(len(schema) - 2)),
              pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
@@ -214,7 +222,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     requests = docs.select(body).mapInArrow(
         _requests(pattern, buckets, chunk), "bucket int, chunk binary, lengths binary, blob binary")
     answers = requests.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        _answers(sent, width), requests.schema)
+        _answers(sent, pattern, width), requests.schema)
     positions = rows.mapInArrow(_positions(pattern, buckets, chunk), T.StructType([
         T.StructField("chunk", T.BinaryType()), T.StructField("numbers", T.BinaryType()),
         T.StructField("order", T.BinaryType()), *kept]))

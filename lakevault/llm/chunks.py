@@ -6,6 +6,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+from lakevault.llm.packing import pack
+
 
 def chunks(batches, size: int):
     """Tables that end with the row that brings their texts to ``size`` characters, wherever the
@@ -19,6 +21,7 @@ def chunks(batches, size: int):
             if chars >= size:
                 yield pa.Table.from_batches([*held, batch.slice(first, row - first)])
                 held, chars, first = [], 0, row
+                pa.default_memory_pool().release_unused()
         if first < batch.num_rows:
             held.append(batch.slice(first))
     if held:
@@ -26,8 +29,7 @@ def chunks(batches, size: int):
 
 
 def named(distinct: list[bytes]) -> bytes:
-    h = xxhash.xxh3_128()
-    for word in distinct:
-        h.update(len(word).to_bytes(8, "little"))
-        h.update(word)
+    """A digest of a list of words."""
+    h = xxhash.xxh3_128(pack([len(w) for w in distinct]))
+    h.update(b"".join(distinct))
     return h.digest()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import zstandard
 
 
 def pack(values) -> bytes:
@@ -59,3 +60,11 @@ def slices(blob: bytes, lengths: np.ndarray) -> list[bytes]:
     """The parts of a blob that have these lengths, in order."""
     ends = np.cumsum(lengths)
     return [blob[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist(), strict=True)]
+
+
+def squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)

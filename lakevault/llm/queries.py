@@ -24,7 +24,7 @@ from lakevault.llm import (
 from lakevault.llm.storage import cut, new_path
 
 #: Arrow batches are bounded by bytes as well as rows, since texts may be long.
-BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 #: A deployment passes its own secret.
