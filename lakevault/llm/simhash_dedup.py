@@ -104,7 +104,10 @@ def _search(radius: int):
 
 
 def links(points: DataFrame, radius: int = RADIUS, part: int = PART) -> DataFrame:
-    """Distinct fingerprints (column fp) -> pairs (u, v) within the radius, each once, u > v."""
+    """Distinct fingerprints (column fp) -> pairs (u, v) within the radius, each once, u > v. A
+    radius of 0 links nothing but equal fingerprints, so there are no pairs."""
+    if radius == 0:
+        return points.limit(0).select(F.col("fp").alias("u"), F.col("fp").alias("v"))
     blocks = [F.struct(F.lit(i).alias("block"),
                        F.shiftrightunsigned("fp", first).bitwiseAND(F.lit(mask)).alias("value"))
               for i, (first, mask) in enumerate(_masks(radius + 1))]

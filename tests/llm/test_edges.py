@@ -143,6 +143,7 @@ def test_links_in_small_parts_and_components(spark):
     want = sorted((b, a) for i, a in enumerate(points) for b in points[i + 1:]
                   if (a ^ b).bit_count() <= 2)
     assert got == want
+    assert simhash_dedup.links(df, radius=0).count() == 0
     root = dict(components.roots(spark.createDataFrame(got, "u long, v long")).collect())
     assert [root.get(p, p) for p in points] == brute.components(points, points)
 
