@@ -163,4 +163,6 @@ def keep(docs: DataFrame, text: str = "text", table=TABLE, base=BASE) -> DataFra
     """The rows that pass, with the columns they came with."""
     inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
                         F.col(f"`{text}`").alias("text"))
-    return measure(inner, "text", table, base).filter("quality.kept").select("row.*")
+    judged = measure(inner, "text", table, base)
+    # a filter would be pushed below the projections, and the measures computed once more in it
+    return judged.select(F.inline(F.when(F.col("quality.kept"), F.array("row"))))
