@@ -16,8 +16,8 @@ so no word, document or source is hot, and no group holds more than one chunk. D
 with the table of token bytes; the table is the vocabulary file, whose size is fixed.
 
 ``docs`` is read twice and must give the same rows in the same partitions both times, as a stored
-table does; a chunk is named by a digest of its words, and an answer that does not fit its chunk
-is an error.
+table does; a chunk is named by its partition, running number and words, and an answer that does
+not fit its chunk is an error.
 
 Defined results: a null text counts as empty and has no ids; repeated rows are encoded each for
 itself; an empty table gives an empty result; columns of any name are carried, the result columns
@@ -97,13 +97,13 @@ def _requests(pattern_text: str, buckets: int, size: int):
     """Chunk -> one row for each bucket: its distinct words, in order of first occurrence."""
     def run(batches):
         pattern = regex.compile(pattern_text)
-        for chunk in chunks(batches, size):
+        for running, chunk in enumerate(chunks(batches, size)):
             seen: dict[str, None] = {}
             for text in chunk.column(chunk.num_columns - 1).to_pylist():
                 for some in words(text, pattern):
                     seen.update(dict.fromkeys(some))
             distinct = [w.encode() for w in seen]
-            name = named(distinct)
+            name = named(distinct, running)
             by: dict[int, list[bytes]] = defaultdict(list)
             for w in distinct:
                 by[_bucket(w, buckets)].append(w)
@@ -148,7 +148,7 @@ def _positions(pattern_text: str, buckets: int, size: int):
     words; the first row also has the places of these."""
     def run(batches):
         pattern = regex.compile(pattern_text)
-        for chunk in chunks(batches, size):
+        for running, chunk in enumerate(chunks(batches, size)):
             numbers: dict[str, int] = defaultdict(count().__next__)
             found = []
             for text in chunk.column(chunk.num_columns - 1).to_pylist():
@@ -169,7 +169,7 @@ def _positions(pattern_text: str, buckets: int, size: int):
             orders[0] = place[short].astype("<u4").tobytes()
             carried = chunk.drop_columns([chunk.column_names[-1]]).combine_chunks()
             out = pa.Table.from_arrays(
-                [pa.array([named(distinct)] * len(found), pa.binary()),
+                [pa.array([named(distinct, running)] * len(found), pa.binary()),
                  pa.array(pack_parts(number[every], ends), pa.binary()),
                  pa.array(orders, pa.binary()), *carried.columns],
                 names=["chunk", "numbers", "order", *carried.column_names])
@@ -182,11 +182,8 @@ def _assemble(width: str, schema: pa.Schema):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
-        got = {}  # chunks of the same words share a name, and then also the answers
-        for row in answers.to_pylist():
-            got[row["bucket"]] = row
         table: list[bytes] = []
-        for _, row in sorted(got.items()):
+        for row in sorted(answers.to_pylist(), key=lambda r: r["bucket"]):
             ids = np.frombuffer(unsqueeze(row["blob"]), width).astype("<u4").tobytes()
             table += slices(ids, unpack(row["lengths"]) * 4)
         order = next(o for o in docs.column("order").to_pylist() if o is not None)

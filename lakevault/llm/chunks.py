@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 
 from lakevault.llm.packing import pack
 
@@ -28,8 +29,11 @@ def chunks(batches, size: int):
         yield pa.Table.from_batches(held)
 
 
-def named(distinct: list[bytes]) -> bytes:
-    """A digest of a list of words."""
-    h = xxhash.xxh3_128(pack([len(w) for w in distinct]))
+def named(distinct: list[bytes], number: int = 0) -> bytes:
+    """The name of a task's chunk of this running number, by partition, number and words: chunks of
+    the same words have names of their own, and one whose words changed is not found."""
+    context = TaskContext.get()
+    h = xxhash.xxh3_128(pack([context.partitionId() if context else 0, number, len(distinct)]))
+    h.update(pack([len(w) for w in distinct]))
     h.update(b"".join(distinct))
     return h.digest()

@@ -256,6 +256,18 @@ def test_bpe_on_odd_rows(spark, docs, none, clashing):
     assert [r[0] for r in odd.select(bpe.decode(spark, F.col("ids"), ranks)).collect()] == [None, None]
 
 
+def test_bpe_of_chunks_of_the_same_words(spark):
+    ranks, enc = coder()
+    texts = ["one two two three", "one two three three three", "one two three", "one two two three"]
+    rows = spark.createDataFrame(spark.sparkContext.parallelize(
+        list(enumerate(texts)), len(texts)), "doc_id long, text string")
+    for docs in (rows, rows.coalesce(1)):  # a chunk in each partition; all of them in one
+        made = bpe.encode(docs, ranks, public_tokenizers.PATTERN, chunk=10).collect()
+        assert sorted(r["doc_id"] for r in made) == [0, 1, 2, 3]
+        for r in made:
+            assert np.frombuffer(r["ids"], "<u4").tolist() == enc.encode_ordinary(r["text"])
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=" \n\t\x1c\x85\u3000ab'sé1!日\u0301", max_size=12) | st.text(max_size=12))
 def test_words_make_whole_pre_tokens(text):
