@@ -29,7 +29,7 @@ def chunks(batches, size: int):
         yield pa.Table.from_batches(held)
 
 
-def named(distinct: list[bytes], number: int = 0) -> bytes:
+def named(distinct: list[bytes], number: int) -> bytes:
     """The name of a task's chunk of this running number, by partition, number and words: chunks of
     the same words have names of their own, and one whose words changed is not found."""
     context = TaskContext.get()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import collections
 import hashlib
 import os
 import random
@@ -311,6 +312,22 @@ def test_lm_on_odd_rows(docs, none):
     assert word["score"] == pytest.approx(-5 * np.log10(256), rel=1e-6)
 
 
+def test_base_of_chunks_of_the_same_words(spark):
+    texts = ["a b b", "a b", "a b b", "b a a a c", "a b b b b", "b a", "c c a b", "x a b", "a b b"]
+    rows = spark.createDataFrame(spark.sparkContext.parallelize(
+        list(enumerate(texts)), len(texts)), "doc_id long, text string")
+    known = collections.Counter(w for i, t in enumerate(texts) if i != 7 for w in t.split())
+    trained = sum(known.values()) + len(texts) - 1
+    for docs in (rows, rows.coalesce(1)):
+        made = lm_scoring.score(docs, F.col("doc_id") == 7, chunk=3).collect()
+        assert sorted(r["doc_id"] for r in made) == list(range(len(texts)))
+        for r in made:
+            counts = [len(texts) - 1, *(known[w] for w in texts[r["doc_id"]].split())]
+            assert (r["n_known"], r["train_tokens"]) == (sum(map(bool, counts)), trained)
+            assert r["base_score"] == pytest.approx(sum(
+                np.log10((n + 1) / (trained + len(known) + 2)) for n in counts))
+
+
 def test_tree_against_counts(spark):
     """Every state's distribution sums to one, and texts get the product of longest states."""
     text = b"\n\nab abab ba\n"
