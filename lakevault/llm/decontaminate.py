@@ -9,10 +9,12 @@ exact weighted-shingle similarity.
    words at p - q. Where words were put in or left out, one item has several such diagonals; the
    windows at the first and last anchor of each are tried too, since the number of words that an
    item-sized window loses is least at one of these places.
-3. Fingerprints. Each window's 64-bit SimHash over its words is looked up among the items of its
-   length. ``BLOCKS`` blocks of 16 bits: two fingerprints within ``RADIUS`` bits differ in at most
-   RADIUS // BLOCKS bits of some block, and the item side lists every block value that near, so
-   all pairs within the radius meet.
+3. Fingerprints. Each window's 64-bit SimHash over its multiset of shingles, as it is verified, is
+   looked up among the items of its length. Blocks of ``BLOCKS`` bits: two fingerprints within
+   ``RADIUS`` bits differ in at most RADIUS // 6 bits of one of the six, and the item side lists
+   every block value that near, so all pairs within the radius meet. At a similarity of 0.8 the
+   multisets' cosine is 8/9 at least, so a bit differs with probability 0.15 at most: 9.7 of 64
+   are expected, and over 23 have a chance of some 1e-5.
 4. Pairs within the radius are verified: similarity of the two multisets of shingles, the sum of
    the smaller counts over the sum of the larger, at least ``SIMILARITY``.
 
@@ -35,8 +37,8 @@ from lakevault.llm.storage import stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BLOCKS = 4
-RADIUS = 15
+BLOCKS = (11, 11, 11, 11, 10, 10)
+RADIUS = 23
 MOST_BITS = 1 << 23
 
 
@@ -61,7 +63,7 @@ def _shingles(hashes: Column, k: int) -> Column:
 
 
 def simhash(hashes: Column) -> Column:
-    """64-bit SimHash of word hashes: a bit is one if over half the words have it."""
+    """64-bit SimHash of a set of hashes: a bit is one if over half of them have it."""
     def fold(a: Column, bit: Column) -> Column:
         ones = F.size(F.filter(hashes, lambda h: F.getbit(h, bit) == 1))
         return a.bitwiseOR(F.when(2 * ones > F.size(hashes), F.call_function(
@@ -70,6 +72,14 @@ def simhash(hashes: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), fold)
 
 
+def _shingles_up_to(hashes: Column, k: Column, most: int) -> Column:
+    """Shingles of k words, k a column of 1 to ``most``."""
+    cut = F.array().cast("array<bigint>")
+    for j in range(1, most + 1):
+        cut = F.when(k == j, _shingles(hashes, j)).otherwise(cut)
+    return cut
+
+
 def _counted(shingles: Column) -> Column:
     """A multiset as a set: the same shingle's second, third ... occurrence get other hashes."""
     return _let(F.array_sort(shingles), lambda s: F.transform(
@@ -89,12 +99,10 @@ def item_table(items: DataFrame, text: str, key: str, shingle: int = SHINGLE) ->
                           _hashes(words_of(F.col(f"`{text}`").cast("string"))).alias("h"))
     sized = listed.filter(F.size("h") > 0).withColumn("n", F.size("h")).withColumn(
         "k", F.least("n", F.lit(shingle)))
-    cut = F.array().cast("array<bigint>")
-    for k in range(1, shingle + 1):
-        cut = F.when(F.col("k") == k, _shingles(F.col("h"), k)).otherwise(cut)
-    return stored(sized.select(
-        F.monotonically_increasing_id().alias("iid"), "item", "n", "k", cut.alias("shingles"),
-        simhash(F.col("h")).alias("fp")), "benchmark_items")
+    cut = sized.withColumn("shingles", _shingles_up_to(F.col("h"), F.col("k"), shingle))
+    return stored(cut.select(
+        F.monotonically_increasing_id().alias("iid"), "item", "n", "k", "shingles",
+        _let(_counted(F.col("shingles")), simhash).alias("fp")), "benchmark_items")
 
 
 def _bitmap(shingles: DataFrame) -> tuple[int, Column]:
@@ -170,20 +178,21 @@ def _windows(screened: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _block(fp: Column) -> list[Column]:
-    return [F.shiftrightunsigned(fp, 64 // BLOCKS * b).bitwiseAND(F.lit((1 << 64 // BLOCKS) - 1))
-            for b in range(BLOCKS)]
+    return [F.shiftrightunsigned(fp, sum(BLOCKS[:b])).bitwiseAND(F.lit((1 << size) - 1))
+            for b, size in enumerate(BLOCKS)]
 
 
 def _near_masks() -> list[int]:
-    size = 64 // BLOCKS
-    return [sum(1 << b for b in c) for r in range(RADIUS // BLOCKS + 1)
-            for c in combinations(range(size), r)]
+    """For the widest block; in others some make values that no window has."""
+    return [sum(1 << b for b in c) for r in range(RADIUS // len(BLOCKS) + 1)
+            for c in combinations(range(max(BLOCKS)), r)]
 
 
 def matches(screened: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(rid, iid, similarity, start, n_words) of each pair of a stored screened document and an
     item that some window of the document is similar to: the best window, the first of equals."""
-    windows = _windows(screened, items).withColumn("fp", simhash(F.col("h")))
+    shingles = _shingles_up_to(F.col("h"), F.least("n", F.lit(SHINGLE)), SHINGLE)
+    windows = _windows(screened, items).withColumn("fp", _let(_counted(shingles), simhash))
     asked = windows.select("*", F.posexplode(F.array(*_block(F.col("fp")))).alias("b", "v"))
     near = items.select("iid", "n", F.col("fp").alias("item_fp"), F.posexplode(
         F.array(*_block(F.col("fp")))).alias("b", "own")).select(
@@ -193,10 +202,8 @@ def matches(screened: DataFrame, items: DataFrame, similarity: float = SIMILARIT
     met = asked.join(near.hint("merge"), ["n", "b", "v"]).filter(
         F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
     pairs = met.select("rid", "iid", "start", "h").dropDuplicates(["rid", "iid", "start"])
-    cut = F.array().cast("array<bigint>")
-    for k in range(1, SHINGLE + 1):
-        cut = F.when(F.col("k") == k, _shingles(F.col("h"), k)).otherwise(cut)
-    both = pairs.join(items.select("iid", "n", "k", "shingles"), "iid").select(
+    cut = _shingles_up_to(F.col("h"), F.col("k"), SHINGLE)
+    both = pairs.join(items.select("iid", "k", "shingles"), "iid").select(
         "rid", "iid", "start", F.size("h").alias("n_words"), _counted(cut).alias("a"),
         _counted(F.col("shingles")).alias("b"))
     shared = F.size(F.array_intersect("a", "b"))

@@ -188,6 +188,27 @@ def test_leaks_on_odd_rows(spark, docs, none, clashing):
     assert decontaminate.keep_clean(docs, items.limit(0)).count() == docs.count()
 
 
+def test_leaks_of_long_and_repetitive_items(spark):
+    """Items that lost their last ninth, one word repeated or many words: similarity 0.8."""
+    rng = random.Random(3)
+
+    def some(n):
+        return [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+
+    items, docs = [], []
+    for i in range(40):
+        n = (13, 49, 94, 184)[i % 4]
+        lost = (n - 4) // 9
+        head = some(n - lost)
+        items.append((i, " ".join(head + (some(lost) if i < 8 else ["same"] * lost))))
+        docs.append((i, " ".join(some(5) + head + some(lost + 5))))
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                                spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = brute.leaks(docs, items)
+    assert len(want) == 40
+    assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in found} == pytest.approx(want)
+
+
 # pseudonyms
 
 def test_pseudonyms_keep_formats(spark, docs, none, clashing):
