@@ -12,8 +12,8 @@ chunks of about ``CHUNK`` characters and
   word costs about a byte and a half.
 
 Both meet by chunk and are put together by position. A frequent word is one entry in each chunk,
-so no word, document or source is hot, and no group holds more than one chunk. Decoding joins ids
-with the table of token bytes; the table is the vocabulary file, whose size is fixed.
+so no word, document or source is hot, and no group holds more than one chunk. Decoding looks ids
+up in the broadcast table of token bytes; this is the vocabulary file, whose size is fixed.
 
 ``docs`` is read twice and must give the same rows in the same partitions both times, as a stored
 table does; a chunk is named by its partition, running number and words, and an answer that does
