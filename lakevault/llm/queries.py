@@ -17,6 +17,7 @@ from lakevault.llm import (
     pii,
     quality_classifier,
     quality_rules,
+    sharding,
     simhash_dedup,
     url_filters,
     warc,
@@ -163,6 +164,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         q["kept"].alias("kept"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = sharding.layout(regions=3, racks=2, shards=4)
+    return sharding.manifest(_table(spark, sf_dir, "documents"), tree, sharding.grown(tree))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_chat_formatting": op2_chat_formatting,
@@ -174,4 +180,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_pseudonyms": op8_pii_pseudonyms,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_sharding": op11_sharding,
 }

@@ -121,10 +121,58 @@ SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest
   CASE WHEN o <> page_id THEN o END AS refers_to
 FROM q"""
 
+_CRC = """
+bits AS (
+  SELECT range AS n, list_reduce(range(8), lambda a, i:
+    CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, CAST(range AS BIGINT)) AS c
+  FROM range(256)),
+crc AS (SELECT list(c ORDER BY n) AS steps FROM bits)"""
+
+
+def _crc32(text: str) -> str:
+    """Checksum of a text's bytes, beside the tables ``_CRC``."""
+    bytes_ = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), " \
+             "lambda p: CAST(('0x' || p) AS BIGINT))"
+    return (f"xor(list_reduce({bytes_}, lambda a, x: xor(a >> 8, steps[1 + (xor(a, x) & 255)]), "
+            "4294967295), 4294967295)")
+
+
+def _draw(child: str, weight: str) -> str:
+    number = f"CAST(('0x' || substr(md5(k || '|' || {child}), 1, 13)) AS BIGINT)"
+    return f"-ln(({number} + 0.5) / 4503599627370496.0) / {weight}"
+
+
+SHARDS = f"""
+WITH {_CRC.strip()},
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS k,
+    octet_length(encode(coalesce(text, ''))) + 8 AS size, {_crc32("coalesce(text, '')")} AS text_crc32
+  FROM documents, crc),
+regions AS (SELECT 'r' || range AS name, 8.0 AS weight, true AS old FROM range(3)
+  UNION ALL SELECT 'x24', 1.0, false),
+region AS (
+  SELECT rid, arg_min(name, {_draw("name", "weight")}) FILTER (old) AS r,
+    arg_min(name, {_draw("name", "weight")}) AS grown
+  FROM d, regions GROUP BY rid),
+rack AS (
+  SELECT rid, any_value(r) AS r, any_value(grown) AS grown,
+    arg_min(r || '/k' || range, {_draw("r || '/k' || range", "4.0")}) AS rk
+  FROM d JOIN region USING (rid), range(2) GROUP BY rid),
+shard AS (
+  SELECT rid, any_value(grown) AS grown, arg_min(s, {_draw("rk || '/s' || s", "1.0")}) AS s
+  FROM (SELECT *, CAST(substr(r, 2) AS INT) * 8 + CAST(right(rk, 1) AS INT) * 4 + range AS s
+    FROM d JOIN rack USING (rid), range(4)) GROUP BY rid)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law,
+  CAST(s AS INT) AS shard, row_number() OVER (
+    PARTITION BY s ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot,
+  CAST(CASE WHEN grown = 'x24' THEN 24 ELSE s END AS INT) AS grown_shard
+FROM d JOIN shard USING (rid)"""
+
 ORACLES: dict[str, str] = {
     "op2_chat_formatting": CHAT,
     "op3_url_filters": URLS,
     "op7_warc": WARC,
+    "op11_sharding": SHARDS,
     "op10_quality_rules":
         "SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, "
         f"base_failed, kept FROM ({quality()})",
