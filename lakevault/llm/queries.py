@@ -12,6 +12,7 @@ import public_tokenizers
 from lakevault.llm import (
     bpe,
     chat_format,
+    chat_repair,
     decontaminate,
     lm_scoring,
     pii,
@@ -21,6 +22,7 @@ from lakevault.llm import (
     simhash_dedup,
     url_filters,
     warc,
+    whitening,
 )
 from lakevault.llm.storage import cut, new_path
 
@@ -169,6 +171,21 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.manifest(_table(spark, sf_dir, "documents"), tree, sharding.grown(tree))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    # beyond 63 bits the exact value is in the second column alone
+    return made.withColumn("deviation_exact", F.col("deviation")).withColumn(
+        "deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    harmed = chat_repair.damage(rows)
+    made = chat_repair.repair(harmed, key="key", absent="absent")
+    return chat_repair.digests(made, "key").select(
+        F.col("key").alias("conv_id"), *chat_repair.COUNTS, "audit", "repaired_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_chat_formatting": op2_chat_formatting,
@@ -181,4 +198,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_sharding": op11_sharding,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_conversation_repair": op13_conversation_repair,
 }
