@@ -92,6 +92,21 @@ def _sum_rows(batches):
             names=["dim", "n", "s"])
 
 
+def _entries(sums: np.ndarray) -> pa.RecordBatch:
+    """A task's matrix as rows (place, value), for Spark to add up by place."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(sums.size, dtype=np.int64)), pa.array(sums.ravel())], names=["at", "v"])
+
+
+def _added(vectors: DataFrame, rows: Callable, shape: tuple[int, int]) -> np.ndarray:
+    """The sum of all tasks' matrices of this shape."""
+    sums = vectors.select("x").mapInArrow(rows, "at long, v double").groupBy("at").agg(
+        F.sum("v").alias("v")).toArrow()
+    out = np.zeros(shape[0] * shape[1])
+    out[sums.column("at").to_numpy()] = sums.column("v").to_numpy()
+    return out.reshape(shape)
+
+
 def _product_rows(n: int, s: list[int], q: np.ndarray):
     """A task's share of the covariance times ``q``, and of the covariance's diagonal."""
     def run(batches):
@@ -101,9 +116,7 @@ def _product_rows(n: int, s: list[int], q: np.ndarray):
                 c = _exact(_matrix(batch), n, s).astype(np.float64) / n
                 y[:, :-1] += c.T @ (c @ q)
                 y[:, -1] += (c * c).sum(axis=0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(s), dtype=np.int32)), *(pa.array(np.ascontiguousarray(v)) for v in y.T)],
-            names=["dim", *(f"y{i}" for i in range(q.shape[1] + 1))])
+        yield _entries(y)
     return run
 
 
@@ -123,11 +136,8 @@ class Covariance:
 
     def times(self, q: np.ndarray) -> np.ndarray:
         """The covariance times a block, in one pass; sets the trace too."""
-        names = [f"y{i}" for i in range(q.shape[1] + 1)]
-        rows = self.vectors.select("x").mapInArrow(
-            _product_rows(self.n, self.sums, q), "dim int, " + ", ".join(f"{c} double" for c in names))
-        sums = rows.groupBy("dim").agg(*(F.sum(c).alias(c) for c in names)).orderBy("dim").collect()
-        y = np.array([r[1:] for r in sums]) / self.n
+        y = _added(self.vectors, _product_rows(self.n, self.sums, q),
+                   (len(self.sums), q.shape[1] + 1)) / self.n
         self.trace = float(y[:, -1].sum())
         self.passes += 1
         return y[:, :-1]
@@ -206,19 +216,13 @@ def _moment_rows(n: int, s: list[int], p: np.ndarray):
                 w = (_exact(_matrix(batch), n, s).astype(np.float64) / n) @ p
                 sums[:, :-1] += w.T @ w
                 sums[:, -1] += w.sum(axis=0)
-        i, j = np.indices(sums.shape).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(i.ravel()), pa.array(j.ravel()), pa.array(sums.ravel())], names=["i", "j", "v"])
+        yield _entries(sums)
     return run
 
 
 def _identity_error(vectors: DataFrame, n: int, s: list[int], p: np.ndarray) -> float:
-    rows = vectors.select("x").mapInArrow(_moment_rows(n, s, p), "i int, j int, v double").groupBy(
-        "i", "j").agg(F.sum("v").alias("v")).collect()
     size = p.shape[1]
-    sums = np.zeros((size, size + 1))
-    for r in rows:
-        sums[r["i"], r["j"]] = r["v"] / n
+    sums = _added(vectors, _moment_rows(n, s, p), (size, size + 1)) / n
     mean = sums[:, -1]
     return float(np.abs(sums[:, :-1] - np.outer(mean, mean) - np.eye(size)).max())
 
