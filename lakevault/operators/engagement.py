@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakevault.functions import ratio, week_number
@@ -34,38 +34,47 @@ def rollup(clicks: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str
     per_site_key = list(dict.fromkeys([*group, site_key, *join_on]))
     rows = clicks.withColumn("week_number", week_number(F.col("date"))) if weekly else clicks
     rows = rows.select(*dict.fromkeys([*per_site_key, "date", "sum_click"]))
+    states = rows.groupBy(*per_site_key).agg(*site_states())
+    return from_states(states, sites, by, site_key, join_on, period, unique_sites)
 
+
+#: What is kept of the clicks of a (group, period, site): how two such states become one.
+STATES = {"_clicks": F.sum, "_rows": F.sum, "_max": F.max, "_days": F.bit_or, "_seen": F.sum}
+
+
+def site_states() -> list[Column]:
+    """The state of a (group, period, site), as aggregates over its clicks."""
+    day_bit = F.expr(f"shiftleft(1, cast(pmod(`date`, {DAYS_PER_WEEK}) as int))")
+    return [F.sum("sum_click").alias("_clicks"), F.count("sum_click").alias("_rows"),
+            F.max("sum_click").alias("_max"), F.bit_or(day_bit).alias("_days"),
+            F.count(F.lit(1)).alias("_seen")]
+
+
+def merged_states(stored: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The states of both, one for each key."""
+    return stored.select(*new.columns).unionByName(new).groupBy(*key).agg(
+        *[how(c).alias(c) for c, how in STATES.items()]).select(*new.columns)
+
+
+def newer_rows(stored: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows of both; of a key that both have, the new ones, NULL being a key like any other."""
+    mine = new.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)])
+    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)]
+    return stored.select(*new.columns).join(mine, same, "left_anti").unionByName(new)
+
+
+def from_states(states: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str,
+                join_on: Sequence[str], period: str, unique_sites: bool = False) -> DataFrame:
+    """The rollup per group and period from the states of its sites."""
+    group = [*by, period]
     meta = sites.select(*join_on, "activity_type")
     if unique_sites:
         meta = meta.withColumn("_copy", F.lit(1))
     else:
         order = Window.partitionBy(*join_on).orderBy("activity_type")
         meta = meta.withColumn("_copy", F.row_number().over(order))
-
-    out = _reduce(rows, meta, group, per_site_key, site_key, join_on)
-    if not weekly:
-        return out.select(*group, "total_clicks", "unique_resources", "unique_activity_types")
-    return out.select(
-        *group,
-        F.coalesce(F.bit_count("_days"), F.lit(0)).cast("bigint").alias("active_days"),
-        "total_clicks",
-        ratio(F.col("total_clicks"), F.col("_rows")).alias("avg_daily_clicks"),
-        "unique_resources", "unique_activity_types", "max_daily_clicks",
-    )
-
-
-def _reduce(rows: DataFrame, meta: DataFrame, group: list[str], per_site_key: list[str],
-            site_key: str, join_on: Sequence[str]) -> DataFrame:
-    """(group, site), then group."""
-    day_bit = F.expr(f"shiftleft(1, cast(pmod(`date`, {DAYS_PER_WEEK}) as int))")
-    per_site = rows.groupBy(*per_site_key).agg(
-        F.sum("sum_click").alias("_clicks"),
-        F.count("sum_click").alias("_rows"),
-        F.max("sum_click").alias("_max"),
-        F.bit_or(day_bit).alias("_days"),
-    )
     first_copy = F.col(site_key).isNotNull() & (F.coalesce(F.col("_copy"), F.lit(1)) == 1)
-    return per_site.join(meta, list(join_on), "left").groupBy(*group).agg(
+    out = states.join(meta, list(join_on), "left").groupBy(*group).agg(
         F.bit_or("_days").alias("_days"),
         F.sum("_clicks").alias("total_clicks"),
         F.sum("_rows").alias("_rows"),
@@ -73,3 +82,12 @@ def _reduce(rows: DataFrame, meta: DataFrame, group: list[str], per_site_key: li
         F.count_distinct("activity_type").alias("unique_activity_types"),
         F.max("_max").alias("max_daily_clicks"),
     )
+    if period != "week_number":
+        return out.select(*group, "total_clicks", "unique_resources", "unique_activity_types")
+    return out.select(
+        *group,
+        F.coalesce(F.bit_count("_days"), F.lit(0)).cast("bigint").alias("active_days"),
+        "total_clicks",
+        ratio(F.col("total_clicks"), F.col("_rows")).alias("avg_daily_clicks"),
+        "unique_resources", "unique_activity_types", "max_daily_clicks",
+    )

@@ -132,6 +132,25 @@ add("bv_engagement_weekly_all_versions", weekly(
   LEFT JOIN (SELECT hk_vle, activity_type FROM sat_vle_details UNION ALL
     SELECT hk_vle, activity_type FROM sat_vle_details WHERE week_from % 2 = 0) s
     USING (hk_vle))""", "hk_student, hk_course_offering", "hk_vle"))
+add("fact_engagement_2nd_load", "SELECT * FROM fact_engagement_summary")
+
+# --- streams -------------------------------------------------------------------------------
+
+add("stream_txn_student_vle_click", "SELECT * FROM txn_student_vle_click")
+add("stream_sat_append_2nd_load", "SELECT * FROM sat_assessment_details_m")
+add("stream_engagement_weekly", "SELECT * FROM fact_engagement_summary")
+LATE = """
+  SELECT code_module, code_presentation, id_site % 7 = 0 AS straggler,
+    CAST(floor(date / 7.0) AS BIGINT) AS week_number,
+    make_date(CAST(left(code_presentation, 4) AS INT), ascii(substr(code_presentation, 5, 1)) - 64, 1)
+      + to_days(CAST((floor(date / 7.0) + 1) * 7 AS INT)) AS week_end
+  FROM bronze_student_vle"""
+add("stream_late_clicks", f"""
+SELECT code_module, code_presentation, week_number, count(*) AS landed,
+  count(*) FILTER (NOT straggler OR week_end > mark) AS accepted,
+  count(*) FILTER (straggler AND week_end <= mark) AS late
+FROM ({LATE}) CROSS JOIN (
+  SELECT max(week_end) - to_days(1000) AS mark FROM ({LATE}) WHERE NOT straggler) GROUP BY ALL""")
 add("metrics_guard", """
 SELECT run_date, table_name, layer,
   expectations_evaluated + CASE WHEN run_date > DATE '2024-01-20' THEN 1 ELSE 0 END

@@ -8,6 +8,7 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakevault import functions as L
 from lakevault.given import (
@@ -25,9 +26,22 @@ from lakevault.operators.incremental import (
     newer_than_stored,
     upsert_by_key,
 )
-from lakevault.plans import MODELS, Model, Tables, business, dashboards, metrics, quality, rulebook
+from lakevault.plans import (
+    MODELS,
+    Model,
+    Tables,
+    business,
+    dashboards,
+    engagement_state,
+    metrics,
+    quality,
+    rulebook,
+)
 from lakevault.schemas import SPECS
 from lakevault.sources import audit
+from lakevault.sources.shared import new_path
+from lakevault.sources.warehouse import Warehouse
+from lakevault.streaming import landing, vault, weekly
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -260,6 +274,90 @@ def bv_quality_metrics(g: Given) -> DataFrame:
     return business.bv_quality_metrics(g.tables(), RUN_DATE)
 
 
+@query
+def fact_engagement_2nd_load(g: Given) -> DataFrame:
+    """Weekly engagement refreshed load by load: the clicks of the earlier orders, then the later."""
+    warehouse = Warehouse(g.spark, new_path(g.spark, "refreshed"))
+    sites = g.tables()["silver_vle"]
+    loads = ({"orders_before": FIRST_LOAD_BEFORE}, {"orders_from": FIRST_LOAD_BEFORE})
+    for number, part in enumerate(loads):
+        clicks = Given(g.spark, g.sf_dir, **part).tables()["bronze_student_vle"]
+        engagement_state.refresh(warehouse, clicks, sites, number)
+    return warehouse.read(engagement_state.LAYER, engagement_state.ROLLUP)
+
+
+# --- streams -------------------------------------------------------------------------------
+
+#: Longer than the supplied clicks span: no click is late.
+NEVER_LATE = "20000 days"
+LATE_AFTER = "1000 days"
+
+
+class Landing:
+    """A folder in which files land, the checkpoint of a stream over it and a warehouse."""
+
+    def __init__(self, g: Given, name: str):
+        self.spark, self.root = g.spark, new_path(g.spark, name)
+        self.folder, self.checkpoint = f"{self.root}/landing", f"{self.root}/checkpoint"
+        self.warehouse = Warehouse(g.spark, f"{self.root}/warehouse")
+
+    def land(self, rows: DataFrame, files: int) -> StructType:
+        rows.repartition(files).write.mode("append").parquet(self.folder)
+        return rows.schema
+
+    def stream(self, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
+        return landing.landed(self.spark, self.folder, schema, files_per_batch=files_per_batch)
+
+
+@query
+def stream_txn_student_vle_click(g: Given) -> DataFrame:
+    """The click transactions, taken from landed files one at a time in two runs."""
+    at = Landing(g, "stream_txn")
+    sink = vault.into_vault(at.warehouse.root, "student_vle", ["txn_student_vle_click"], LOAD_TS)
+    for late in (False, True):
+        schema = at.land(g.student_vle.filter((F.col("id_site") % 5 == 0) == F.lit(late)), 2)
+        landing.drain(at.stream(schema, 1), sink, at.checkpoint)
+    return at.warehouse.read("dv", "txn_student_vle_click")
+
+
+@query
+def stream_sat_append_2nd_load(g: Given) -> DataFrame:
+    """The assessment satellite after both loads landed as files."""
+    at = Landing(g, "stream_sat")
+    loads = ((g.assessments, LOAD_TS), (second_load(g)["assessments"](), SECOND_LOAD_TS))
+    for rows, load_ts in loads:
+        schema = at.land(rows, 2)
+        landing.drain(at.stream(schema, 1), vault.into_vault(
+            at.warehouse.root, "assessments", ["sat_assessment_details"], load_ts), at.checkpoint)
+    return at.warehouse.read("dv", "sat_assessment_details")
+
+
+def _weekly(at: Landing, schema: StructType, delay: str, files_per_batch: int | None) -> None:
+    clicks = Tables({"student_vle": at.stream(schema, files_per_batch)}, LOAD_TS)
+    landing.drain(weekly.states(clicks["bronze_student_vle"], delay),
+                  weekly.into_states(at.warehouse.root), at.checkpoint, "update")
+
+
+@query
+def stream_engagement_weekly(g: Given) -> DataFrame:
+    """Weekly engagement from clicks that land in no order, a file a batch."""
+    at = Landing(g, "stream_weekly")
+    _weekly(at, at.land(g.student_vle, 3), NEVER_LATE, 1)
+    return engagement_state.summary(at.warehouse.read(weekly.LAYER, weekly.NAME),
+                                    g.tables()["silver_vle"])
+
+
+@query
+def stream_late_clicks(g: Given) -> DataFrame:
+    """Clicks of some sites land after all others; those of weeks closed by then are counted."""
+    at = Landing(g, "stream_late")
+    for straggler in (False, True):
+        chosen = g.student_vle.filter((F.col("id_site") % 7 == 0) == F.lit(straggler))
+        _weekly(at, at.land(chosen, 2), LATE_AFTER, None)
+    return weekly.late_clicks(g.tables()["bronze_student_vle"],
+                              at.warehouse.read(weekly.LAYER, weekly.NAME))
+
+
 # --- assertions and rules ------------------------------------------------------------------
 
 @query
