@@ -139,6 +139,7 @@ add("fact_engagement_2nd_load", "SELECT * FROM fact_engagement_summary")
 add("stream_txn_student_vle_click", "SELECT * FROM txn_student_vle_click")
 add("stream_sat_append_2nd_load", "SELECT * FROM sat_assessment_details_m")
 add("stream_engagement_weekly", "SELECT * FROM fact_engagement_summary")
+add("stream_dedup_sum_clicks", CLICK_SUM)
 LATE = """
   SELECT code_module, code_presentation, id_site % 7 = 0 AS straggler,
     CAST(floor(date / 7.0) AS BIGINT) AS week_number,

@@ -41,7 +41,7 @@ from lakevault.schemas import SPECS
 from lakevault.sources import audit
 from lakevault.sources.shared import new_path
 from lakevault.sources.warehouse import Warehouse
-from lakevault.streaming import landing, vault, weekly
+from lakevault.streaming import landing, repeats, vault, weekly
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -358,6 +358,18 @@ def stream_late_clicks(g: Given) -> DataFrame:
                               at.warehouse.read(weekly.LAYER, weekly.NAME))
 
 
+@query
+def stream_dedup_sum_clicks(g: Given) -> DataFrame:
+    """Clicks with repeated keys, landing in two halves that share many keys, summed as they come."""
+    at, key = Landing(g, "stream_dedup"), SPECS["studentVle"].pk
+    for half in (0, 1):
+        schema = at.land(g.clicks_in_order.filter(F.col("sum_click") % 2 == half), 1)
+        landing.drain(repeats.summed(at.stream(schema), key, "line"),
+                      repeats.into_log(at.warehouse.root, "bronze", "clicks_log"),
+                      at.checkpoint, "update")
+    return repeats.newest(at.warehouse.read("bronze", "clicks_log"), key)
+
+
 # --- assertions and rules ------------------------------------------------------------------
 
 @query

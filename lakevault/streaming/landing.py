@@ -7,11 +7,15 @@ failure, and each checkpoint an identity of its own: writes that carry both happ
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 #: Identity of a micro-batch: its stream, and its number in the stream.
 Batch = tuple[str, int]
 Sink = Callable[[DataFrame, Batch], None]
@@ -29,13 +33,21 @@ def landed(spark: SparkSession, folder: str, schema: StructType, form: str = "pa
 
 def drain(stream: DataFrame, sink: Sink, checkpoint: str, mode: str = "append") -> list[dict]:
     """Give everything that has landed to the sink, batch by batch, then stop. Returns what Spark
-    reports of each batch. A batch that fails ends the run; the next run repeats it."""
+    reports of each batch. A batch that fails ends the run; the next run repeats it.
+
+    State lies in RocksDB on the executors' disks and in the checkpoint folder, not in the heap. The
+    session's own choice of a state store is put back as soon as the run has begun."""
     def write(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
         sink(rows, (spark.sparkContext.getLocalProperty("sql.streaming.queryId"), number))
 
-    query = stream.writeStream.foreachBatch(write).outputMode(mode).option(
-        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    spark = stream.sparkSession
+    chosen = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        query = stream.writeStream.foreachBatch(write).outputMode(mode).option(
+            "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(STATE_STORE, chosen)
     query.awaitTermination()
-    return [dict(p) if isinstance(p, dict) else p.jsonValue if hasattr(p, "jsonValue") else p
-            for p in query.recentProgress]
+    return [json.loads(p.json) if hasattr(p, "json") else p for p in query.recentProgress]
