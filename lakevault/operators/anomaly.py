@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakevault.functions import one_decimal
@@ -23,6 +23,9 @@ IQR_FACTOR = 1.5
 REGISTRATION_WINDOW = (-365, 0)
 MIN_EXAM_CLICKS = 10
 
+# Days of a student that are swept in one go.
+SWEEP_DAYS = 256
+
 OFFERING = ["code_module", "code_presentation"]
 ENROLMENT = ["id_student", *OFFERING]
 
@@ -102,10 +105,10 @@ def score_anomalies(df: DataFrame, detected_at: datetime, z_limit: float | None
     iqr_factor = iqr_factor or limits.get("iqr_multiplier", IQR_FACTOR)
     filled = F.coalesce("score", F.lit(0.0))
     stats = df.agg(F.avg(filled).alias("m"), F.stddev_pop(filled).alias("s"))
-    scored = df.withColumns({
-        "_stats": stats.select(F.struct("m", "s")).scalar(),
-        "_q": exact_quantiles(df, "score", [0.25, 0.75]),
-    })
+    # a row of its own, so that the statistics are derived once and not in each use
+    scored = df.select("*", F.inline(F.array(F.struct(
+        stats.select(F.struct("m", "s")).scalar().alias("_stats"),
+        exact_quantiles(df, "score", [0.25, 0.75]).alias("_q")))))
     spread = (F.col("_q.q1") - F.col("_q.q0")) * iqr_factor
     scored = scored.withColumns({
         "_z": _z(filled, F.col("_stats.m"), F.col("_stats.s")),
@@ -150,14 +153,29 @@ def assessment_before_registration(submissions: DataFrame, registrations: DataFr
 def assessment_before_counts(submissions: DataFrame, registrations: DataFrame) -> DataFrame:
     """Number of rows of :func:`assessment_before_registration`, without forming them.
 
-    Both sides shrink to one row per student and day before they meet.
+    A sweep over each student's days: submissions and registrations become one row per student and
+    day, and going back in time a submission meets the registrations counted so far. The sweep is
+    split into blocks of ``SWEEP_DAYS``: inside a block day by day, between blocks by their totals, so
+    no student's days meet in one sort, however many they are.
     """
-    s = submissions.groupBy("id_student", "date_submitted").agg(F.count(F.lit(1)).alias("a"))
-    r = registrations.groupBy(F.col("id_student").alias("_s"), "date_registration").agg(
-        F.count(F.lit(1)).alias("b"))
-    pairs = s.join(r, (F.col("id_student") == F.col("_s"))
-                   & (F.col("date_submitted") < F.col("date_registration")))
-    return pairs.agg(F.coalesce(F.sum(F.col("a") * F.col("b")), F.lit(0)).alias("count"))
+    def told(df: DataFrame, day: str, name: str, other: str) -> DataFrame:
+        return df.select("id_student", F.col(day).cast("long").alias("day"),
+                         F.lit(1).alias(name), F.lit(0).alias(other))
+
+    days = told(submissions, "date_submitted", "a", "b").unionByName(
+        told(registrations, "date_registration", "b", "a")).dropna().groupBy(
+        "id_student", "day").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).withColumn(
+        "block", F.floor(F.col("day") / SWEEP_DAYS))
+
+    def later(by: list[str], order: str) -> Column:
+        over = Window.partitionBy(*by).orderBy(F.desc(order))
+        return F.coalesce(F.sum("b").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    blocks = days.withColumn("inside", F.col("a") * later(["id_student", "block"], "day")).groupBy(
+        "id_student", "block").agg(F.sum("inside").alias("inside"), F.sum("a").alias("a"),
+                                   F.sum("b").alias("b"))
+    pairs = blocks.select((F.col("inside") + F.col("a") * later(["id_student"], "block")).alias("n"))
+    return pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("count"))
 
 
 def assessment_before_registration_strict(submissions: DataFrame, assessments: DataFrame,

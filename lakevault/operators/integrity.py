@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +12,26 @@ from pyspark.sql import functions as F
 from lakevault.operators.rules import Reference
 
 
+# Key types of at most eight bytes: as short as the hash that would stand for them.
+_SHORT = ("tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "boolean")
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their number of rows (NULL keys included)."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    """Keys that occur more than once, with their number of rows (NULL keys included).
+
+    Wide keys are screened first: rows are counted by a 64-bit hash of the key, which is all that is
+    shuffled, and only rows whose hash was seen twice are grouped by the key itself. Equal keys have
+    equal hashes, so nothing is missed; different keys of one hash part in the second step. Where
+    no hash repeats, that step has no rows.
+    """
+    key = list(key)
+    if len(key) == 1 and df.schema[key[0]].dataType.simpleString() in _SHORT:
+        suspects = df.select(*key)
+    else:
+        hashed = df.select(*key, F.xxhash64(*key).alias("_hash"))
+        twice = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+        suspects = hashed.join(twice.select("_hash"), "_hash", "left_semi")
+    return suspects.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
 def unique_check(df: DataFrame, name: str, key: Sequence[str], ignore_null: bool = False,
@@ -59,21 +76,57 @@ def orphans(child: DataFrame, child_key: Sequence[str], parent: DataFrame,
     return child.join(keys, list(child_key), "left_anti")
 
 
-def reference_counts(tables: Mapping[str, DataFrame], refs: Sequence[Reference]) -> DataFrame:
-    """Orphan rows and orphan keys per declared reference.
+def _key_text(columns: Sequence[str]) -> Column:
+    """A key as one text, different for different keys and the same for equal ones of any types."""
+    return F.concat(*[F.coalesce(
+        F.concat(F.char_length(F.col(c).cast("string")).cast("string"), F.lit(":"),
+                 F.col(c).cast("string")), F.lit("-")) for c in columns])
+
+
+def _whole(columns: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
-    Child rows are counted per key before the join, with partial aggregation ahead of the
-    shuffle, so a key holding much of the table meets the parents as one row.
+
+def reference_totals(tables: Mapping[str, DataFrame], refs: Sequence[Reference]) -> DataFrame:
+    """(rule, child_rows, orphan_rows, orphan_keys) per declared reference, all in one pass.
+
+    Each table is read once, whatever references name it: a row gives one entry per reference, a
+    counted one where it is the child and a mark where it is the parent. Entries reduce by
+    (reference, key) ahead of the one shuffle, so a key that holds much of a table meets its parent
+    as one row. A key with a NULL has no parent.
     """
-    parts = []
-    for ref in refs:
-        per_key = tables[ref.child].groupBy(*ref.child_columns).agg(F.count(F.lit(1)).alias("n"))
-        lost = orphans(per_key, ref.child_columns, tables[ref.parent], ref.parent_columns)
-        parts.append(lost.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
-            F.count(F.lit(1)).alias("orphan_keys"),
-        ).select(F.lit(ref.label).alias("rule"), "orphan_rows", "orphan_keys"))
-    return reduce(DataFrame.unionByName, parts)
+    entries: dict[str, list[Column]] = {}
+    for i, ref in enumerate(refs):
+        for table, columns, child in ((ref.child, ref.child_columns, 1),
+                                      (ref.parent, ref.parent_columns, 0)):
+            known = F.lit(0) if child else _whole(columns).cast("int")
+            entries.setdefault(table, []).append(F.struct(
+                F.lit(i).alias("ref"), _key_text(columns).alias("key"),
+                F.lit(child).cast("long").alias("rows"), known.alias("known")))
+    told = reduce(DataFrame.unionByName, [
+        tables[table].select(F.inline(F.array(*own))) for table, own in entries.items()])
+    by_key = told.groupBy("ref", "key").agg(F.sum("rows").alias("rows"), F.max("known").alias("known"))
+    lost = (F.col("known") == 0) & (F.col("rows") > 0)
+    totals = by_key.groupBy("ref").agg(
+        F.sum("rows").alias("child_rows"),
+        F.coalesce(F.sum(F.when(lost, F.col("rows"))), F.lit(0)).alias("orphan_rows"),
+        F.count_if(lost).alias("orphan_keys"))
+    # a reference between empty tables has no entry and still one row
+    labels = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(r.label).alias("rule"))
+                       for i, r in enumerate(refs)])
+    zero = F.lit(0).cast("long")
+    every = totals.sparkSession.range(1).select(F.inline(labels)).select(
+        F.col("i").alias("ref"), "rule", zero.alias("child_rows"), zero.alias("orphan_rows"),
+        zero.alias("orphan_keys"))
+    counts = ["child_rows", "orphan_rows", "orphan_keys"]
+    return totals.select("ref", F.lit(None).cast("string").alias("rule"), *counts).unionByName(
+        every).groupBy("ref").agg(F.max("rule").alias("rule"), *[F.sum(c).alias(c) for c in counts]
+                                  ).drop("ref")
+
+
+def reference_counts(tables: Mapping[str, DataFrame], refs: Sequence[Reference]) -> DataFrame:
+    """Orphan rows and orphan keys per declared reference."""
+    return reference_totals(tables, refs).select("rule", "orphan_rows", "orphan_keys")
 
 
 def unique_counts(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -24,7 +24,8 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> Colum
     near = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
     first = values.agg(F.count("v").alias("rows"),
                        F.percentile_approx("v", near, ACCURACY).alias("ends"))
-    known = values.withColumn("_k", first.select(F.struct("*")).scalar())
+    known = values.select("v", F.inline(F.array(F.struct(  # derived once, not in each use
+        first.select(F.struct("*")).scalar().alias("_k")))))
 
     def key(i: int) -> Column:
         low, high = F.col("_k.ends")[2 * i], F.col("_k.ends")[2 * i + 1]

@@ -426,14 +426,16 @@ DRIFT_SHARES = " UNION ALL ".join(f"""
   SELECT 'student_info' AS table_name, '{c}' AS "column", 'categorical' AS kind, max(drift_pct) AS d,
     5 AS allowed FROM ({shares("student_info", c, "code_presentation < '2000'")})"""
     for c in ("gender", "final_result"))
-add("rules_drift", f"""
+RULES_DRIFT = f"""
 SELECT table_name, "column", kind, {rnd("d", 6)} AS drift, CAST(allowed AS DOUBLE) AS allowed,
   COALESCE(d > allowed, FALSE) AS exceeds
 FROM ({DRIFT_SHARES} UNION ALL
   SELECT 'student_vle', 'sum_click', 'numeric', abs(c - m) / nullif(s, 0), 3
   FROM (SELECT avg(sum_click) FILTER (code_presentation < '2000') AS m,
     stddev_pop(sum_click) FILTER (code_presentation < '2000') AS s,
-    avg(sum_click) FILTER (code_presentation >= '2000') AS c FROM student_vle))""")
+    avg(sum_click) FILTER (code_presentation >= '2000') AS c FROM student_vle))"""
+add("rules_drift", RULES_DRIFT)
+add("drift_from_profiles", RULES_DRIFT)
 add("drift_numeric", f"""
 SELECT {rnd("m", 6)} AS baseline_mean, {rnd("s", 6)} AS baseline_std, {rnd("c", 6)} AS current_mean,
   {rnd("abs(c - m) / nullif(s, 0)", 6)} AS drift_z,

@@ -19,7 +19,7 @@ from lakevault.given import (
     Given,
     second_load,
 )
-from lakevault.operators import anomaly, drift, ingest, integrity, rules
+from lakevault.operators import anomaly, drift, ingest, integrity, profile, rules
 from lakevault.operators.incremental import (
     append_new_versions,
     latest_version,
@@ -509,6 +509,18 @@ def rules_drift(g: Given) -> DataFrame:
     return rounded(drift.run(*loads, rulebook.RULES.drift), "drift")
 
 
+@query
+def drift_from_profiles(g: Given) -> DataFrame:
+    """The same checks from stored profiles alone: the earlier load's in two parts, merged."""
+    warehouse, checks = Warehouse(g.spark, new_path(g.spark, "profiles")), rulebook.RULES.drift
+    early, odd = F.col("code_presentation") < "2000", F.col("id_student") % 2 == 1
+    for name, kept in (("early_odd", early & odd), ("early_even", early & ~odd), ("late", ~early)):
+        rows = {c.table: getattr(g, c.table).filter(kept) for c in checks}
+        warehouse.overwrite(profile.profile(rows, checks), "quality", name)
+    before = profile.merged(*(warehouse.read("quality", n) for n in ("early_odd", "early_even")))
+    return rounded(profile.drift(before, warehouse.read("quality", "late"), checks), "drift")
+
+
 @query
 def drift_numeric(g: Given) -> DataFrame:
     out = drift.numeric(*g.drift_frames, "value", 3.0)
