@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,16 +77,19 @@ def coerce(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*[c.alias(n) for n, c in casts.items()], *keep)
 
 
-def dedup_sum(df: DataFrame, pk: Sequence[str], order_by: str, null_sum: str = "zero") -> DataFrame:
-    """One row per key: numeric columns summed, others the first non-null by ``order_by``.
+def dedup_sum(df: DataFrame, pk: Sequence[str], order_by: str, null_sum: str = "zero",
+              read: Observation | None = None) -> DataFrame:
+    """One row per key: numeric columns summed, others the first non-null by ``order_by``. ``read``
+    observes on the way how many rows and keys (``rows``, ``keys``) there were.
 
     ``null_sum="zero"`` keeps the data-dependent rule of the reference semantics: as soon as the
     table holds any duplicate key, every missing number becomes 0 (also on keys that occur once)
     and rows with a NULL key are dropped; without duplicates nothing changes.
     ``null_sum="keep"`` leaves a sum of nothing as NULL.
 
-    The duplicate probe is one extra aggregation over the key columns only, read back as a
-    scalar subquery. It is left out when the schema proves that no key or number can be NULL,
+    The duplicate probe is the largest number of rows that a key of the same grouping has, read back
+    as a scalar subquery. It looks at all columns of the grouping, so that both are one shuffle and
+    the input is read once. It is left out when the schema proves that no key or number can be NULL,
     as for clicks, where the answer could not matter.
     """
     pk = list(pk)
@@ -99,13 +102,19 @@ def dedup_sum(df: DataFrame, pk: Sequence[str], order_by: str, null_sum: str = "
         else:
             first = f"min_by(`{f.name}`, `{order_by}`) filter (where `{f.name}` is not null)"
             aggs.append(F.expr(first).alias(f.name))
-    out = df.groupBy(*pk).agg(*aggs)
+    counted = df.groupBy(*pk).agg(*aggs, F.count(F.lit(1)).alias("_n"))
+    out = counted.observe(read, F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("keys")
+                          ) if read else counted
 
     nullable = {f.name for f in df.schema.fields if f.nullable}
     if nullable & (set(pk) | numeric):
-        per_key = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("n"))
-        has_dup = F.coalesce(per_key.select(F.max("n") > 1).scalar(), F.lit(False))
-        out = out.filter(~has_dup | _all_present(pk))
+        probe = counted.agg(F.max("_n").alias("n"), F.bit_xor(F.xxhash64(*counted.columns)).alias("all"))
+        repeated = F.coalesce(probe.select(F.struct("n", "all")).scalar()["n"] > 1, F.lit(False))
+        # a row of its own, so that the probe is asked once and not in each use
+        out = out.select("*", F.inline(F.array(F.struct(repeated.alias("_dup")))))
+        has_dup = F.col("_dup")
+        # every key has rows; asking keeps the count in the grouping, which makes it that of the probe
+        out = out.filter((F.col("_n") > 0) & (~has_dup | _all_present(pk)))
         if null_sum == "zero":
             out = out.withColumns({
                 c: F.when(has_dup, F.coalesce(F.col(c), F.lit(0))).otherwise(F.col(c))
@@ -128,13 +137,13 @@ def pseudonymise(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 def to_bronze(raw: DataFrame, spec: TableSpec, load_ts: datetime, source_file: str,
-              null_sum: str = "zero") -> DataFrame:
+              null_sum: str = "zero", read: Observation | None = None) -> DataFrame:
     """Cleaned text frame to bronze rows, one lazy plan.
 
     ``raw`` must carry the declared columns plus :data:`FILE_ORDER`; the only shuffles are the
     ones of the duplicate-key step.
     """
-    typed = dedup_sum(coerce(raw, spec), spec.pk, FILE_ORDER, null_sum)
+    typed = dedup_sum(coerce(raw, spec), spec.pk, FILE_ORDER, null_sum, read)
     return (
         pseudonymise(typed, spec.pii)
         .select(*spec.columns)

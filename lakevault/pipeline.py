@@ -5,13 +5,14 @@ from __future__ import annotations
 import argparse
 import json
 import time
+import warnings
 from collections.abc import Collection, Mapping
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakevault.operators import anomaly, rules
+from lakevault.operators import anomaly, profile, rules
 from lakevault.plans import MODELS, Model, Tables, business, metrics, quality, rulebook
 from lakevault.schemas import BY_TABLE
 from lakevault.session import get_session
@@ -19,6 +20,7 @@ from lakevault.sources.audit import AuditLog
 from lakevault.sources.csv_files import LoadResult, load_all_tables
 from lakevault.sources.warehouse import Warehouse
 
+VAULT = ("dv", "bv")
 # Large facts, stored by presentation so that a filter on it prunes folders.
 PARTITIONED = {
     "silver_student_vle": ["code_presentation"],
@@ -59,9 +61,11 @@ def run(spark: SparkSession, data_dir: str, root: str, load_ts: datetime | None
         fail_on_critical: bool = True, config: Mapping | None = None) -> dict[str, LoadResult]:
     """One pipeline run over the CSV files of ``data_dir``; everything lands under ``root``.
 
-    With the gate on (the default) a critical rule that fails on bronze stops the run before any
-    model is built, and one that fails on silver before anything behind silver is; the stored
-    models stay as the last good run left them. ``config`` has the thresholds of the detectors,
+    With the gate on (the default) a critical rule, assertion, reference or declared check that fails
+    on bronze stops the run before any model is built, a rule that fails on silver before anything
+    behind silver is, and an assertion of the vault models before the marts are; what is not built
+    stays as the last good run left it. Column profiles are compared with those of the last good run
+    and kept by this one at its end; drift and jumps in the number of anomalies are warnings. ``config`` has the thresholds of the detectors,
     ``sources`` (files by source) and ``multi_line`` (sources whose cells may hold line breaks).
     """
     started = time.monotonic()
@@ -85,19 +89,22 @@ def run(spark: SparkSession, data_dir: str, root: str, load_ts: datetime | None
         return results
 
     bronze = {name: warehouse.read("bronze", name) for name in BY_TABLE}
-    checked = validated("bronze", rules.validate_all(
-        quality.raw_tables(Tables(bronze, load_ts)), rulebook.EXECUTED))
+    checked = validated("bronze", quality.validate_bronze(Tables(bronze, load_ts)))
+    day = f"{load_ts:%Y%m%d}"
+    note_drift(warehouse, audit, bronze, load_ts, day)
     t = refresh_models(warehouse, load_ts, layers=["silver"])
     results = checked.unionByName(validated("silver", quality.validate_silver(t)))
     silver = {m.name: t[m.name] for m in MODELS.values() if m.layer == "silver"}
-    t = refresh_models(warehouse, load_ts, stored={**bronze, **silver},
-                       layers={m.layer for m in MODELS.values()} - {"silver"})
+    t = refresh_models(warehouse, load_ts, stored={**bronze, **silver}, layers=VAULT)
+    validated("vault", quality.validate_vault(t))
+    vault = {m.name: t[m.name] for m in MODELS.values() if m.layer in VAULT}
+    t = refresh_models(warehouse, load_ts, stored={**bronze, **silver, **vault},
+                       layers={m.layer for m in MODELS.values()} - {"silver", *VAULT})
     warehouse.overwrite(results, "gold", "rule_results")
     results = warehouse.read("gold", "rule_results")
 
     flags = anomaly.detect_all(load_ts, t["student_vle"], t["student_assessment"],
                                t["student_registration"], config.get("anomaly"))
-    day = f"{load_ts:%Y%m%d}"
     warehouse.replace_run(flags, "gold", "anomaly_flags", day)
     mine = warehouse.read("gold", "anomaly_flags").filter(
         F.col("detected_at") == F.lit(load_ts).cast("timestamp"))
@@ -120,9 +127,46 @@ def run(spark: SparkSession, data_dir: str, root: str, load_ts: datetime | None
         "gold", "rpt_quality_metrics", metrics.METRIC_KEY)
     warehouse.upsert_daily(business.bv_quality_metrics(t, run_date), "bv", "bv_quality_metrics",
                            metrics.METRIC_KEY)
+    note_spikes(warehouse, audit, run_date)
+    warehouse.replace_run(warehouse.read("quality", "profiles_of_run"), "quality", "column_profiles", day)
     return loaded
 
 
+def note_drift(warehouse: Warehouse, audit: AuditLog, bronze: Mapping[str, DataFrame],
+               load_ts: datetime, day: str) -> None:
+    """Profile the checked columns of this load, and compare with the last good load before it."""
+    stamp = F.lit(load_ts).cast("timestamp")
+    warehouse.overwrite(profile.profile(bronze, rulebook.RULES.drift).withColumn("load_ts", stamp),
+                        "quality", "profiles_of_run")
+    if not warehouse.exists("quality", "column_profiles"):
+        return
+    earlier = warehouse.read("quality", "column_profiles").filter(F.col("load_ts") < stamp)
+    last = earlier.select(F.max("load_ts")).first()[0]
+    if last is None:
+        return
+    found = profile.drift(earlier.filter(F.col("load_ts") == F.lit(last)),
+                          warehouse.read("quality", "profiles_of_run"), rulebook.RULES.drift)
+    warehouse.replace_run(found.withColumn("load_ts", stamp), "quality", "drift_results", day)
+    rows = warehouse.read("quality", "drift_results").filter(F.col("load_ts") == stamp).collect()
+    audit.log("drift", "column_profiles", {f"{r.table_name}.{r.column}": r.drift for r in rows})
+    for r in rows:  # as many as there are declared checks
+        if r.exceeds:
+            warnings.warn(f"{r.table_name}.{r.column} drifted by {r.drift:.2f}, allowed are "
+                          f"{r.allowed}", stacklevel=2)
+
+
+def note_spikes(warehouse: Warehouse, audit: AuditLog, run_date: date) -> None:
+    """Warn of tables of this run's day with many more anomalies than on the day before."""
+    history = warehouse.read("gold", "rpt_quality_metrics")
+    rows = metrics.anomaly_spikes(history).filter(F.col("run_date") == F.lit(run_date)).collect()
+    for r in rows:  # at most one for each table
+        warnings.warn(f"{r.layer}.{r.table_name}: {r.anomalies_detected} anomalies after "
+                      f"{r.previous}", stacklevel=2)
+    if rows:
+        audit.log("anomaly_spike", "rpt_quality_metrics",
+                  {f"{r.layer}.{r.table_name}": r.anomalies_detected for r in rows})
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description="Run the whole pipeline over a folder of CSVs.")
     parser.add_argument("data_dir")

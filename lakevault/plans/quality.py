@@ -139,3 +139,99 @@ def validate_silver(t: Tables) -> DataFrame:
     """The executed rules on the silver models, as far as these carry the columns."""
     tables = {name: t[f"silver_{name}"] for name in raw_tables(t)}
     return rules.validate_all(tables, rules.applicable(tables, rulebook.EXECUTED), "silver")
+
+
+def _outcomes(rows: DataFrame, layer: str, severity: str) -> DataFrame:
+    """(table_name, rule, column, evaluated_rows, failed_rows) rows as outcomes like those of rules."""
+    return rows.select(
+        "table_name", F.lit(layer).alias("layer"), "rule", "column", F.lit(severity).alias("severity"),
+        "evaluated_rows", "failed_rows", (F.col("failed_rows") == 0).alias("success"))
+
+
+def _counted(failing: DataFrame, evaluated: DataFrame, table: str, rule: str, column: str) -> DataFrame:
+    """One outcome from the failing rows of a check and the rows it looked at."""
+    looked = evaluated.agg(F.count(F.lit(1)).alias("evaluated_rows")).withColumn("failed_rows", F.lit(0))
+    bad = failing.agg(F.count(F.lit(1)).alias("failed_rows")).withColumn("evaluated_rows", F.lit(0))
+    return looked.unionByName(bad).agg(
+        F.sum("evaluated_rows").alias("evaluated_rows"), F.sum("failed_rows").alias("failed_rows")
+    ).select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
+             F.lit(column).alias("column"), "evaluated_rows", "failed_rows")
+
+
+#: Assertions on bronze views by the rule they are an outcome of: column and table.
+_ASSERTED = {
+    "invalid_final_result": ("student_info", "final_result"),
+    "invalid_assessment_type": ("assessments", "assessment_type"),
+    "invalid_activity_type": ("vle", "activity_type"),
+    "score_out_of_range": ("student_assessment", "score"),
+    "weight_out_of_range": ("assessments", "weight"),
+    "negative_sum_click": ("student_vle", "sum_click"),
+}
+
+
+def validate_assertions(t: Tables) -> DataFrame:
+    """The outcomes of the value and range assertions on the bronze views, of which all are
+    critical: in the models they stop whatever depends on them."""
+    failing = assert_accepted_values(t).select("check_name").unionByName(
+        assert_range_checks(t).select("check_name")).groupBy("check_name").agg(
+        F.count(F.lit(1)).alias("failed_rows")).withColumn("evaluated_rows", F.lit(0))
+    tables = list(dict.fromkeys(table for table, _ in _ASSERTED.values()))
+    looked = _union([
+        t[f"bronze_{table}"].agg(F.count(F.lit(1)).alias("evaluated_rows")).select(
+            F.explode(F.array(*[F.lit(c) for c, (of, _) in _ASSERTED.items() if of == table])).alias(
+                "check_name"), F.lit(0).alias("failed_rows"), "evaluated_rows")
+        for table in tables])
+    names = F.create_map(*[F.lit(x) for c, (table, _) in _ASSERTED.items() for x in (c, table)])
+    columns = F.create_map(*[F.lit(x) for c, (_, column) in _ASSERTED.items() for x in (c, column)])
+    counted = failing.unionByName(looked).groupBy("check_name").agg(
+        F.sum("evaluated_rows").alias("evaluated_rows"), F.sum("failed_rows").alias("failed_rows"))
+    return _outcomes(counted.select(
+        names[F.col("check_name")].alias("table_name"), F.col("check_name").alias("rule"),
+        columns[F.col("check_name")].alias("column"), "evaluated_rows", "failed_rows"),
+        "bronze", "critical")
+
+
+def validate_references(t: Tables) -> DataFrame:
+    """The outcomes of the declared references, all in one pass; an orphan is critical."""
+    refs = rulebook.RULES.references
+    told = F.create_map(*[F.lit(x) for r in refs for x in (r.label, F.array(
+        F.lit(r.child), F.lit(f"references {r.parent}"), F.lit(",".join(r.child_columns))))])
+    parts = told[F.col("rule")]
+    totals = integrity.reference_totals(raw_tables(t), refs)
+    return _outcomes(totals.select(
+        parts[0].alias("table_name"), parts[1].alias("rule"), parts[2].alias("column"),
+        F.col("child_rows").alias("evaluated_rows"), F.col("orphan_rows").alias("failed_rows")),
+        "bronze", "critical")
+
+
+def validate_declared(t: Tables) -> DataFrame:
+    """The outcomes of the declared checks that take more than a row: unique keys and due dates
+    (critical), weight sums (a warning, as declared)."""
+    keys = rulebook.RULES.unique
+    unique = _outcomes(_union([
+        _counted(integrity.duplicate_keys(t[table], key), t[table], table, "unique", ",".join(key))
+        for table, key in keys.items()]), "bronze", "critical")
+    due = _outcomes(_counted(no_future_dates(t["assessments"], t["courses"]), t["assessments"],
+                             "assessments", "no_future_dates", "date"), "bronze", "critical")
+    weights = _outcomes(_counted(
+        weight_sum(t["assessments"]), t["assessments"].select(*OFFERING).distinct(),
+        "assessments", "assessment_weight_sum", "weight"), "bronze", "warning")
+    return _union([unique, due, weights])
+
+
+def validate_bronze(t: Tables) -> DataFrame:
+    """Everything that is declared or asserted on the base tables and their views."""
+    rows = rules.validate_all(raw_tables(t), rulebook.EXECUTED)
+    return _union([rows, validate_assertions(t), validate_references(t), validate_declared(t)])
+
+
+def validate_vault(t: Tables) -> DataFrame:
+    """The inline unique and non-null assertions of the vault models as outcomes."""
+    tests = assert_unique(t).unionByName(assert_non_null(t))
+    rows = _union([t[m.name].agg(F.count(F.lit(1)).alias("evaluated_rows")).select(
+        F.lit(m.name).alias("model"), "evaluated_rows")
+        for m in MODELS.values() if m.unique or m.non_null])
+    return _outcomes(tests.join(rows, "model").select(
+        F.col("model").alias("table_name"), F.col("test").alias("rule"),
+        F.col("columns").alias("column"), "evaluated_rows", F.col("failed").alias("failed_rows")),
+        "dv", "critical")

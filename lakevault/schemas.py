@@ -109,6 +109,8 @@ INGESTION_LOG = T.StructType([
     T.StructField("row_count", LONG, False),
     T.StructField("errors", TEXT),
     T.StructField("_ingested_at", T.TimestampType(), False),
+    T.StructField("rows_read", T.LongType()),
+    T.StructField("rows_merged", T.LongType()),
 ])
 
 AUDIT_EVENT = T.StructType([

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakevault.operators import ingest
-from lakevault.schemas import INGESTION_LOG, SPECS, spec_for
+from lakevault.schemas import INGESTION_LOG, SPECS, TableSpec, spec_for
 from lakevault.sources.warehouse import Warehouse
 
 LoadResult = tuple[int, list[str]]
@@ -68,23 +68,32 @@ def load_table(spark: SparkSession, warehouse: Warehouse, source: str, path: str
     if errors:
         return 0, errors
 
+    return store_bronze(warehouse, raw, spec, load_ts, path, audit)
+
+
+def store_bronze(warehouse: Warehouse, raw: DataFrame, spec: TableSpec, load_ts: datetime, path: str,
+                 audit: Callable | None = None) -> LoadResult:
+    """Rows with sound columns as a bronze table, with an entry in the log: rows read, merged into
+    others of their key, and written, all counted by the one job that writes."""
     file_name = posixpath.basename(path.rstrip("/"))
+    read = Observation(f"rows read for {spec.table}")
     rows = Observation(f"rows of {spec.table}")
-    out = ingest.to_bronze(raw, spec, load_ts, file_name).observe(
+    out = ingest.to_bronze(raw, spec, load_ts, file_name, read=read).observe(
         rows, F.count(F.lit(1)).alias("n"))
     try:
         warehouse.overwrite(out, "bronze", spec.table, PARTITIONED.get(spec.table, ()))
     except Exception as e:  # a failed write is reported, not raised, like a failed read
         return 0, [f"write failed: {e}"]
-    count = rows.get["n"]
+    count, seen = rows.get["n"], read.get
+    total = seen["rows"] or 0
 
-    log = spark.createDataFrame(
-        [(spec.table, file_name, count, None, load_ts)], INGESTION_LOG)
+    log = warehouse.spark.createDataFrame(
+        [(spec.table, file_name, count, None, load_ts, total, total - seen["keys"])], INGESTION_LOG)
     try:
         warehouse.append(log, "bronze", "ingestion_log")
         if audit:
             audit(action="ingest", resource=f"bronze.{spec.table}",
-                  detail={"rows": count, "source": path, "errors": errors})
+                  detail={"rows": count, "source": path, "errors": []})
     except Exception as e:
         warnings.warn(f"{spec.table} is loaded, but its log is not written: {e}", stacklevel=2)
     return count, []
@@ -93,15 +102,17 @@ def load_table(spark: SparkSession, warehouse: Warehouse, source: str, path: str
 def load_all_tables(spark: SparkSession, warehouse: Warehouse, data_dir: str, load_ts: datetime,
                     audit: Callable | None = None, paths: Mapping[str, str] | None = None,
                     multi_line: Collection[str] = ()) -> dict[str, LoadResult]:
-    """Load every registered source; absent files are skipped. A source's file is ``<source>.csv``
-    unless ``paths`` names another, anywhere; ``multi_line`` names sources whose cells may hold
-    line breaks."""
+    """Load every registered source; absent files are skipped with a warning. A source's file is
+    ``<source>.csv`` unless ``paths`` names another, anywhere; ``multi_line`` names sources whose
+    cells may hold line breaks."""
     results: dict[str, LoadResult] = {}
     for source in SPECS:
         path = (paths or {}).get(source, f"{data_dir.rstrip('/')}/{source}.csv")
         if warehouse.path_exists(path):
             results[source] = load_table(
                 spark, warehouse, source, path, load_ts, audit, source in multi_line)
+        else:
+            warnings.warn(f"{path} does not exist; {SPECS[source].table} is not loaded", stacklevel=2)
     return results
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import dataclasses
+from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakevault import pipeline
 from lakevault.given import Given
@@ -13,6 +15,7 @@ from lakevault.operators.rules import CriticalRuleFailed
 from lakevault.plans import MODELS
 from lakevault.schemas import SPECS
 from lakevault.sources.audit import AuditLog
+from lakevault.sources.csv_files import load_all_tables
 from lakevault.sources.warehouse import Warehouse
 
 SF = "/root/testdata/sf0.001"
@@ -81,7 +84,9 @@ def test_second_run_changes_no_satellite_and_no_metrics_of_the_day(spark, csv_di
     assert wh.read("gold", "rpt_quality_metrics").count() == 14
     assert wh.read("gold", "anomaly_flags").count() == flags
     actions = {r.action for r in AuditLog(spark, f"{root}/audit").read_today().collect()}
-    assert actions == {"ingest", "validate", "anomaly_detected"}
+    assert actions == {"ingest", "validate", "anomaly_detected", "drift"}
+    drifted = wh.read("quality", "drift_results")
+    assert drifted.count() == 3 and drifted.filter("drift > 1e-9 or exceeds").count() == 0
 
 
 def test_gate_stops_the_run_before_any_model(spark, csv_dir, tmp_path):
@@ -121,3 +126,74 @@ def test_configured_thresholds(spark, csv_dir, tmp_path):
 def test_absent_sources_stop_the_run(spark, tmp_path):
     with pytest.raises(RuntimeError, match="no bronze data"):
         pipeline.run(spark, str(tmp_path), str(tmp_path / "wh"))
+
+
+def test_declared_checks_and_assertions_are_outcomes(spark, first_run):
+    root, _ = first_run
+    wh = Warehouse(spark, root)
+    bronze = {(r.table_name, r.rule): r for r in wh.read("gold", "rule_results_bronze").collect()}
+    orphans = bronze["student_vle", "references vle"]
+    assert orphans.failed_rows > 0 and not orphans.success and orphans.severity == "critical"
+    assert bronze["student_vle", "references courses"].success
+    assert bronze["assessments", "unique"].success
+    assert bronze["assessments", "no_future_dates"].evaluated_rows == wh.read("bronze", "assessments").count()
+    assert bronze["assessments", "assessment_weight_sum"].severity == "warning"
+    assert bronze["assessments", "invalid_assessment_type"].table_name == "assessments"
+    vault = wh.read("gold", "rule_results_vault")
+    nulls = wh.read("bv", "bv_student_assessment").filter("id_assessment is null").count()
+    assert vault.count() > 30 and nulls > 0  # submissions without an assessment
+    assert [(r.table_name, r.column, r.failed_rows) for r in vault.filter("not success").collect()] == [
+        ("bv_student_assessment", "id_assessment", nulls)]
+
+
+def test_an_orphan_stops_the_run(spark, csv_dir, tmp_path, monkeypatch):
+    root, real = str(tmp_path / "wh"), rules.require_critical
+
+    def only_references(results):
+        real(results.filter("rule like 'references %'"))
+
+    monkeypatch.setattr(rules, "require_critical", only_references)
+    with pytest.raises(CriticalRuleFailed, match="student_vle.id_site: references vle"):
+        pipeline.run(spark, csv_dir, root, datetime(2024, 1, 1))
+    wh = Warehouse(spark, root)
+    assert not any(wh.exists(m.layer, m.name) for m in MODELS.values())
+
+
+def test_a_broken_vault_key_stops_the_run(spark, csv_dir, tmp_path, monkeypatch):
+    root, real = str(tmp_path / "wh"), rules.require_critical
+    monkeypatch.setattr(rules, "require_critical", lambda r: real(r.filter("table_name like 'hub%'")))
+    hub = MODELS["hub_student"]
+    monkeypatch.setitem(MODELS, "hub_student", dataclasses.replace(
+        hub, build=lambda t: hub.build(t).withColumn("id_student", F.nullif("id_student", F.lit(1)))))
+    with pytest.raises(CriticalRuleFailed, match="dv.hub_student.id_student: not_null"):
+        pipeline.run(spark, csv_dir, root, datetime(2024, 1, 1))
+    wh = Warehouse(spark, root)
+    assert wh.exists("dv", "hub_student") and not wh.exists("gold", "dim_student")
+
+
+def test_absent_files_are_named(spark, tmp_path):
+    with pytest.warns(UserWarning, match="studentVle.csv does not exist; student_vle is not loaded"):
+        load_all_tables(spark, Warehouse(spark, str(tmp_path / "wh")), str(tmp_path), datetime(2024, 1, 1))
+
+
+def test_drift_and_spikes_are_warnings(spark, tmp_path):
+    wh, audit = Warehouse(spark, str(tmp_path)), AuditLog(spark, str(tmp_path / "audit"))
+
+    def load(day, results, clicks):
+        tables = {
+            "student_info": spark.createDataFrame([("F", r) for r in results], "gender string, final_result string"),
+            "student_vle": spark.createDataFrame([(c,) for c in clicks], "sum_click long")}
+        pipeline.note_drift(wh, audit, tables, datetime(2024, 1, day), f"2024010{day}")
+
+    load(1, ["Pass"] * 9 + ["Fail"], [1, 2, 3])
+    wh.replace_run(wh.read("quality", "profiles_of_run"), "quality", "column_profiles", "20240101")
+    with pytest.warns(UserWarning, match="drifted") as told:
+        load(2, ["Pass"] * 5 + ["Fail"] * 5, [101, 102, 103])
+    assert {str(w.message).split()[0] for w in told} >= {"student_info.final_result", "student_vle.sum_click"}
+    assert wh.read("quality", "drift_results").count() == 3
+    form = "run_date date, table_name string, layer string, anomalies_detected long"
+    wh.overwrite(spark.createDataFrame([
+        (date(2024, 1, 1), "t", "bronze", 10), (date(2024, 1, 2), "t", "bronze", 40)], form),
+        "gold", "rpt_quality_metrics")
+    with pytest.warns(UserWarning, match="40 anomalies after 10"):
+        pipeline.note_spikes(wh, audit, date(2024, 1, 2))
