@@ -100,3 +100,48 @@ def luhn(digits):
         d = int(c) * (1 + i % 2)
         total += d - 9 * (d > 9)
     return total % 10 == 0
+
+
+def suffix_tree(docs, least_count, least_gain, weight):
+    """(scores, states by level) of (text, trained) rows: every context of every length, by plain
+    dictionaries."""
+    texts = [[*words(t), None] for t, _ in docs]  # None is the end
+    trained = [t for t, (_, train) in zip(texts, docs, strict=True) if train]
+    unigrams = collections.Counter(x for t in trained for x in t)
+    total = sum(unigrams.values()) + len(unigrams) + 1
+    states, levels = {}, []
+
+    def chance(before, x):
+        """P(x | longest state of what is before)."""
+        p = (unigrams[x] + 1) / total
+        for k in range(1, len(before) + 1):
+            found = states.get(tuple(before[len(before) - k:]))
+            if found is None:
+                break
+            n, w = sum(found.values()), weight * len(found)
+            p = (found[x] + w * p) / (n + w)
+        return p
+
+    for k in range(1, max(map(len, texts), default=0)):
+        followers = collections.defaultdict(collections.Counter)
+        for t in trained:
+            for i in range(k, len(t)):
+                s = tuple(t[i - k:i])
+                if k == 1 or s[1:] in states:
+                    followers[s][t[i]] += 1
+        passed = {}
+        for s, c in followers.items():
+            n, w = sum(c.values()), weight * len(c)
+            if n >= least_count:
+                gain = 0
+                for x, m in c.items():
+                    p = chance(s[1:], x)
+                    gain += m * np.log((m - 1 + w * p) / (n - 1 + w) / p)
+                if gain >= least_gain:
+                    passed[s] = c
+        if not passed:
+            break
+        states |= passed
+        levels.append(len(passed))
+    scores = [sum(np.log10(chance(t[:i], x)) for i, x in enumerate(t)) for t in texts]
+    return scores, levels

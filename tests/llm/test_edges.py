@@ -329,8 +329,7 @@ def test_lm_on_odd_rows(docs, none):
     assert lm_scoring.score(none, F.lit(False)).count() == 0
     all_out = lm_scoring.score(docs, F.lit(True)).collect()
     assert {(r["base_score"], r["n_known"], r["train_tokens"]) for r in all_out} == {(0.0, 0, 0)}
-    word = next(r for r in all_out if r["doc_id"] == 3)
-    assert word["score"] == pytest.approx(-5 * np.log10(256), rel=1e-6)
+    assert {r["score"] for r in all_out} == {0.0}  # no state, so that of the base
 
 
 def test_base_of_chunks_of_the_same_words(spark):
@@ -349,35 +348,46 @@ def test_base_of_chunks_of_the_same_words(spark):
                 np.log10((n + 1) / (trained + len(known) + 2)) for n in counts))
 
 
-def test_tree_against_counts(spark):
-    """Every state's distribution sums to one, and texts get the product of longest states."""
-    text = b"\n\nab abab ba\n"
-    grams = {}
-    for i in range(2, len(text)):
-        key = int.from_bytes(text[i - 2:i + 1], "big")
-        grams[key] = grams.get(key, 0) + 1
-    rows = lm_scoring.grow(spark.createDataFrame(list(grams.items()), "gram long, n long"), depth=2,
-                           share=0, gain=0, least_gain=1e-9)
-    tree = lm_scoring.Tree(rows)
-    seen = len(set(text))
-    total = 10.0 ** tree.log10[:, :seen].astype(float)
-    unseen = 10.0 ** tree.log10[:, seen].astype(float) * (256 - seen)
-    assert np.allclose(total.sum(axis=1) + unseen, 1, atol=1e-5)
-    states = {(k, s) for k, s, *_ in rows}
-    order = sorted(states)
-
-    def at(before):
-        for k in (2, 1, 0):
-            key = (k, int.from_bytes(before[len(before) - k:], "big") if k else 0)
-            if key in states:
-                return order.index(key)
-
-    def slow(text):
-        data = b"\n\n" + b" ".join(text.encode().lower().split()) + b"\n"
-        return sum(float(tree.log10[at(data[:i]), tree.code[data[i]]]) for i in range(2, len(data)))
-
-    texts = ["ab abab ba", "", "zz ab", "b" * 50]
-    assert tree.scores(texts, 2) == pytest.approx([slow(t) for t in texts], rel=1e-5)
+@pytest.mark.parametrize("least_count, least_gain, weight, chunk", [
+    (2, 0.1, 1.0, 40), (2, 0.1, 1.0, 1 << 20), (4, 2.0, 0.5, 200), (3, 1.0, 3.0, 1)])
+def test_tree_against_dictionaries(spark, least_count, least_gain, weight, chunk):
+    rng = random.Random(least_count)
+    passage = "the cat sat on the mat and the dog sat on the log".split()
+    texts = [" ".join(rng.choice("a b c d e".split()) for _ in range(rng.randrange(12))) for _ in range(40)]
+    texts += [" ".join(passage[rng.randrange(4):rng.randrange(6, 13)]) for _ in range(25)]
+    texts += [None, "", "A b A b A b A b", "new words alone", "a new b"] + ["a b a b c"] * 6
+    out = {3, 45, 60, 66, 69, 70}
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows.write.mode("overwrite").parquet(path := new_path(spark, "texts"))
+    model = lm_scoring.learn(spark.read.parquet(path), F.col("doc_id").isin(out), chunk=chunk,
+                             least_count=least_count, least_gain=least_gain, weight=weight)
+    scores, levels = brute.suffix_tree([(t, i not in out) for i, t in enumerate(texts)],
+                                       least_count, least_gain, weight)
+    got = {r["doc_id"]: r["score"] for r in model.scores.collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(scores, rel=1e-9)
+    counted = collections.Counter(r["level"] for r in model.states.collect())
+    assert [counted[k + 1] for k in range(len(levels))] == levels and len(counted) == len(levels)
+    assert len(levels) > 2
+
+
+def test_more_text_has_more_states_and_longer_ones(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(40)]
+    after = {w: rng.sample(words, 3) for w in words}
+
+    def text():
+        at = [rng.choice(words)]
+        for _ in range(30):
+            at.append(rng.choice(after[at[-1]]))
+        return " ".join(at)
+
+    found = []
+    for n in (20, 200):
+        rows = spark.createDataFrame([(i, text()) for i in range(n)], "doc_id long, text string")
+        model = lm_scoring.learn(rows, F.col("doc_id") % 5 == 0)
+        sums = model.scores.filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+        found.append((model.states.count(), sums[0] > sums[1]))
+    assert found[1][0] >= 2 * found[0][0] > 0 and found[0][1] and found[1][1]
 
 
 # classifier
