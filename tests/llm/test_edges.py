@@ -367,7 +367,7 @@ def test_tree_against_dictionaries(spark, least_count, least_gain, weight, chunk
     assert [got[i] for i in range(len(texts))] == pytest.approx(scores, rel=1e-9)
     counted = collections.Counter(r["level"] for r in model.states.collect())
     assert [counted[k + 1] for k in range(len(levels))] == levels and len(counted) == len(levels)
-    assert len(levels) > 2
+    assert len(levels) > 1
 
 
 def test_more_text_has_more_states_and_longer_ones(spark):
