@@ -1,12 +1,18 @@
 """Personal data replaced by keyed pseudonyms of the same format.
 
-Found by pattern, then validated: payment cards by check digit, IPv4 octets, calendar dates,
-social security numbers, phone numbers; also e-mail addresses and long hexadecimal secrets. A
-number or date is permuted within its own format by a Feistel network over two halves of mixed
-radix, keyed by SHA-256, so different values stay different, equal values stay linked in all
-documents, and the result is valid again (cards keep a right check digit, dates stay dates). An
-address or secret, which has no bounded domain, gets a keyed digest in its place. What fails
-validation stays as it is.
+Found by pattern, then validated: payment cards and bank accounts (IBAN) by check digits, IPv4 and
+IPv6 addresses, calendar dates (also at the head of a timestamp), social security numbers, phone
+numbers; also e-mail addresses and long hexadecimal secrets. A number or date is permuted within
+its own format by a Feistel network over two halves of mixed radix, keyed by SHA-256, so different
+values stay different, equal values stay linked in all documents, and the result is valid again
+(cards and accounts keep right check digits, dates stay dates). An IPv6 address, e-mail address or
+secret, whose domain is too wide for that, gets a keyed digest in its place. What fails validation
+stays as it is.
+
+A date with slashes is read as day/month/year, and as month/day/year where only that is a date. The
+permutation is walked on until it meets a date that reads the same way and has fields of the same
+width, so each way of writing is permuted within itself and no two texts get one pseudonym; padded
+day/month dates and ISO dates of one day stay linked.
 
 All of it is one projection of built-in functions: no shuffle, and texts without a digit or ``@``
 are passed on as they are.
@@ -27,18 +33,27 @@ FIRST_DAY, DATE_RADIX = "1900-01-01", (100, 731)
 SSN_RADIX = (898 * 99, 9999)
 
 EMAIL = r"[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++){1,126}"
-SECRET = r"[0-9a-fA-F]{32,64}+(?![\p{L}\p{N}_])"
-ISO_DATE = r"\d{4}-\d{2}-\d{2}(?![\p{L}\p{N}])"
+SECRET = r"[0-9a-fA-F]{32,}+(?![\p{L}\p{N}_])"
+IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
+IPV6 = (r"(?:(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}"
+        r"|(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,6})?::(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,6})?)"
+        r"(?![\p{L}\p{N}:])")
+ISO_DATE = r"\d{4}-\d{2}-\d{2}(?!(?!T\d{2}:\d{2})[\p{L}\p{N}])"
 SLASH_DATE = r"\d{1,2}/\d{1,2}/\d{4}(?![\p{L}\p{N}/])"
 IPV4 = r"\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)"
 SSN = r"\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])"
 PHONE = r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\p{L}\p{N}])"
+#: A number as machines write it: + and up to 15 digits.
+DIAL = r"\+[1-9]\d{7,14}(?![\p{L}\p{N}])"
 CARD = (r"(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})"
         r"(?![\p{L}\p{N}])")
 ANY = (rf"(?<![\p{{L}}\p{{N}}._%+@-]){EMAIL}|(?<![\p{{L}}\p{{N}}_.+-])"
-       rf"(?:{SECRET}|{ISO_DATE}|{SLASH_DATE}|{IPV4}|{SSN}|{PHONE}|{CARD})")
+       rf"(?:{SECRET}|{IBAN}|{ISO_DATE}|{SLASH_DATE}|{IPV4}|{SSN}|{PHONE}|{DIAL}|{CARD})"
+       rf"|(?<![\p{{L}}\p{{N}}_.:+-]){IPV6}")
 
-KINDS = ("email", "secret", "date", "ip", "ssn", "phone", "card")
+KINDS = ("email", "secret", "date", "ip", "ssn", "phone", "card", "iban")
+#: Steps of a walk; each meets a fitting date with a chance of a fifth at least.
+_WALK = 256
 
 
 def _digest(key: str, *parts) -> Column:
@@ -132,17 +147,62 @@ def _ip(value: Column, key: str) -> Column:
     return _let(F.transform(F.split(value, r"\."), lambda p: p.cast("int")), of)
 
 
-def _date(value: Column, key: str, form: str) -> Column:
+def _rank(text: Column, form: str) -> Column:
+    """Days since the first day; null if the text is no date, or none in the range."""
     a, b = DATE_RADIX
-    first = F.lit(FIRST_DAY).cast("date")
+    day = F.datediff(F.try_to_timestamp(text, F.lit(form)).cast("date"), F.lit(FIRST_DAY).cast("date"))
+    return _let(day, lambda d: F.when((d >= 0) & (d < a * b), d.cast("long")))
 
-    def of(day: Column) -> Column:
-        made = _let(feistel(F.floor(day / b), day % b, F.lit(a), F.lit(b), key, "date"),
-                    lambda s: F.date_format(F.date_add(first, (s["x"] * b + s["y"]).cast("int")),
-                                            form))
-        return F.when((day >= 0) & (day < a * b), made)
-    lenient = form.replace("dd", "d").replace("MM", "M") if "/" in form else form
-    return _let(F.datediff(F.try_to_timestamp(value, F.lit(lenient)).cast("date"), first), of)
+
+def _moved(rank: Column, key: str) -> Column:
+    a, b = DATE_RADIX
+    return _let(feistel(F.floor(rank / b), rank % b, F.lit(a), F.lit(b), key, "date"),
+                lambda s: s["x"] * b + s["y"])
+
+
+def _day(rank: Column) -> Column:
+    return F.date_add(F.lit(FIRST_DAY).cast("date"), rank.cast("int"))
+
+
+def _date(value: Column, key: str) -> Column:
+    return _let(_rank(value, "yyyy-MM-dd"), lambda rank: F.when(
+        rank.isNotNull(), F.date_format(_day(_moved(rank, key)), "yyyy-MM-dd")))
+
+
+def _slash_date(value: Column, key: str) -> Column:
+    def walked(rank: Column, fits) -> Column:
+        def step(s: Column, _: Column) -> Column:
+            return F.when(s["done"], s).otherwise(_let(_moved(s["rank"], key), lambda r: F.struct(
+                r.alias("rank"), fits(_day(r)).alias("done"))))
+
+        start = F.struct(rank.alias("rank"), F.lit(False).alias("done"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(_WALK)), start, step,
+                           lambda s: F.when(s["done"], _day(s["rank"])))
+
+    def of(field: Column) -> Column:
+        narrow = [F.char_length(field[k]) == 1 for k in (0, 1)]
+
+        def written(number: Column, k: int) -> Column:
+            return F.when(narrow[k], number.cast("string")).otherwise(_padded(number, 2))
+
+        def made(day_at: int) -> Column:
+            month_at = 1 - day_at
+            text = F.concat_ws("-", field[2], _padded(field[month_at], 2), _padded(field[day_at], 2))
+
+            def fits(d: Column) -> Column:
+                fine = (~narrow[day_at] | (F.dayofmonth(d) < 10)) & (~narrow[month_at] | (F.month(d) < 10))
+                return fine if day_at == 0 else fine & (F.dayofmonth(d) > 12)
+
+            def told(d: Column) -> Column:
+                parts = {day_at: F.dayofmonth(d), month_at: F.month(d)}
+                return F.when(d.isNotNull(), F.concat_ws(
+                    "/", written(parts[0], 0), written(parts[1], 1), _padded(F.year(d), 4)))
+
+            return _let(_rank(text, "yyyy-MM-dd"), lambda rank: F.when(
+                rank.isNotNull(), _let(walked(rank, fits), told)))
+
+        return F.coalesce(made(0), made(1))
+    return _let(F.split(value, "/"), of)
 
 
 def _ssn(value: Column, key: str) -> Column:
@@ -167,8 +227,78 @@ def _phone(value: Column, key: str) -> Column:
     return F.concat(code, _fill(rest, permuted_digits(_digits(rest), key, "phone")))
 
 
+def _dial(value: Column, key: str) -> Column:
+    """The country code stays: 1 before ten digits, else two digits."""
+    code = F.regexp_extract(value, r"^\+(?:1(?=\d{10}$)|\d{2})", 0)
+    return F.concat(code, permuted_digits(F.substr(value, F.char_length(code) + 1), key, "phone"))
+
+
+def _mod97(text: Column) -> Column:
+    """Remainder by 97 of a text's digits, letters counting as 10 to 35."""
+    def step(r: Column, c: Column) -> Column:
+        return F.when(c.rlike("[0-9]"), (r * 10 + c.try_cast("int")) % 97).otherwise(
+            (r * 100 + F.ascii(c) - 55) % 97)
+
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), step)
+
+
+def _iban(value: Column, key: str) -> Column:
+    """Country and letters stay; the account's digits are permuted, eighteen at a time, and the
+    check digits follow."""
+    def block(digits: Column, first: int, tweak: str) -> Column:
+        part = F.substring(digits, first, 18)
+        return F.when(F.char_length(part) < 2, part).otherwise(permuted_digits(part, key, tweak))
+
+    def of(plain: Column) -> Column:
+        body = F.substr(plain, F.lit(5))
+
+        def checked(account: Column) -> Column:
+            head = F.concat(account, F.substring(plain, 1, 2), F.lit("00"))
+            return F.concat(F.substring(plain, 1, 2), _padded(98 - _mod97(head), 2), account)
+
+        made = _let(_digits(body), lambda d: _fill(body, F.concat(
+            block(d, 1, "iban"), block(d, 19, "iban2"))))
+        spread = _let(_let(made, checked), lambda m: _spaced(value, m))
+        return F.when(_mod97(F.concat(body, F.substring(plain, 1, 4))) == 1, spread)
+    return _let(F.regexp_replace(value, " ", ""), of)
+
+
+def _spaced(mask: Column, text: Column) -> Column:
+    """The text with blanks where the mask has them."""
+    def step(s: Column, c: Column) -> Column:
+        return F.struct(
+            F.concat(s["out"], F.when(c == " ", c).otherwise(F.substr(text, s["at"], F.lit(1)))).alias("out"),
+            (s["at"] + F.when(c == " ", 0).otherwise(1)).alias("at"))
+
+    chars = F.filter(F.split(mask, ""), lambda c: c != "")
+    return F.aggregate(chars, F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), step,
+                       lambda s: s["out"])
+
+
+def _ipv6(value: Column, key: str) -> Column:
+    """A digest of the address written out in full, as an address of eight groups. Without a digit
+    it is no address but two names."""
+    def groups(text: Column) -> Column:
+        return F.filter(F.split(F.lower(text), ":"), lambda g: g != "")
+
+    def of(sides: Column) -> Column:
+        left, right = groups(sides[0]), F.coalesce(groups(F.try_element_at(sides, F.lit(2))), F.array().cast("array<string>"))
+        missing = 8 - F.size(left) - F.size(right)
+        short = F.size(sides) == 2
+        whole = F.transform(F.concat(left, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), right),
+                            lambda g: F.lpad(g, 4, "0"))
+        fine = F.when(short, missing >= 1).otherwise(missing == 0) & value.rlike("[0-9]") & (
+            F.size(left) + F.size(right) > 0)
+        digest = F.substring(_digest(key, F.lit("ip6"), F.array_join(whole, ":")), 1, 32)
+        return F.when(fine, F.regexp_replace(digest, "(.{4})(?=.)", "$1:"))
+    return _let(F.split(value, "::"), of)
+
+
 def _secret(value: Column, key: str) -> Column:
-    made = F.substr(_digest(key, F.lit("secret"), F.lower(value)), F.lit(1), F.char_length(value))
+    first = _digest(key, F.lit("secret"), F.lower(value))
+    more = F.transform(F.sequence(F.lit(1), F.floor(F.char_length(value) / 64).cast("int") + 1),
+                       lambda i: _digest(key, F.lit("secret"), i, F.lower(value)))
+    made = F.substr(F.concat(first, F.array_join(more, "")), F.lit(1), F.char_length(value))
     return F.when(value.rlike("[0-9]") & value.rlike("[a-fA-F]"),
                   F.when(value == F.upper(value), F.upper(made)).otherwise(made))
 
@@ -188,16 +318,18 @@ def _replaced(value: Column, key: str) -> Column:
         return F.struct(F.when(made.isNotNull(), F.lit(kind)).alias("kind"),
                         F.coalesce(made, value).alias("text"))
 
-    day = _date(value, key, "dd/MM/yyyy")
     return (
         F.when(value.contains("@"), of("email", _email(value, key)))
         .when(whole(SECRET), F.when(whole(r"\d{13,19}"), of("card", _card(value, key)))
               .otherwise(of("secret", _secret(value, key))))
-        .when(whole(ISO_DATE), of("date", _date(value, key, "yyyy-MM-dd")))
-        .when(whole(SLASH_DATE), of("date", F.coalesce(day, _date(value, key, "MM/dd/yyyy"))))
+        .when(whole(IBAN), of("iban", _iban(value, key)))
+        .when(whole(ISO_DATE), of("date", _date(value, key)))
+        .when(whole(SLASH_DATE), of("date", _slash_date(value, key)))
         .when(whole(IPV4), of("ip", _ip(value, key)))
         .when(whole(SSN), of("ssn", _ssn(value, key)))
         .when(whole(PHONE), of("phone", _phone(value, key)))
+        .when(whole(DIAL), of("phone", _dial(value, key)))
+        .when(value.contains(":"), of("ip", _ipv6(value, key)))
         .otherwise(of("card", _card(value, key))))
 
 
