@@ -132,6 +132,8 @@ add("bv_engagement_weekly_all_versions", weekly(
   LEFT JOIN (SELECT hk_vle, activity_type FROM sat_vle_details UNION ALL
     SELECT hk_vle, activity_type FROM sat_vle_details WHERE week_from % 2 = 0) s
     USING (hk_vle))""", "hk_student, hk_course_offering", "hk_vle"))
+add("sat_append_bucketed", "SELECT * FROM sat_assessment_details_m")
+add("bv_student_assessment_bucketed", "SELECT * FROM bv_student_assessment")
 add("fact_engagement_2nd_load", "SELECT * FROM fact_engagement_summary")
 
 # --- streams -------------------------------------------------------------------------------

@@ -15,8 +15,10 @@ from lakevault.plans.gold import DROPOUT_CLICKS, assessment_totals, engagement_t
 
 
 def _bytes(df: DataFrame) -> DataFrame:
-    """Hash keys as 32 bytes instead of 64 hex characters, for everything that shuffles."""
-    return df.withColumns({c: F.unhex(c) for c in df.columns if c.startswith("hk_")})
+    """Hash keys as 32 bytes instead of 64 hex characters, for everything that shuffles; tables that
+    are stored by bytes stay as they are."""
+    return df.withColumns({c: F.unhex(c) for c, kind in df.dtypes
+                           if c.startswith("hk_") and kind == "string"})
 
 
 def _hex(df: DataFrame) -> DataFrame:

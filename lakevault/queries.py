@@ -39,6 +39,7 @@ from lakevault.plans import (
 )
 from lakevault.schemas import SPECS
 from lakevault.sources import audit, csv_files
+from lakevault.sources.bucketed import BucketedVault, as_hex
 from lakevault.sources.shared import new_path
 from lakevault.sources.warehouse import Warehouse
 from lakevault.streaming import landing, repeats, vault, weekly
@@ -286,6 +287,26 @@ def fact_engagement_2nd_load(g: Given) -> DataFrame:
     return warehouse.read(engagement_state.LAYER, engagement_state.ROLLUP)
 
 
+@query
+def sat_append_bucketed(g: Given) -> DataFrame:
+    """The assessment satellite after both loads, stored in buckets of its key."""
+    stored = BucketedVault(g.spark, new_path(g.spark, "buckets"), buckets=8)
+    for t in _loads(g):
+        stored.load(t["sat_assessment_details"], "sat_assessment_details")
+    return as_hex(stored.read("sat_assessment_details"))
+
+
+@query
+def bv_student_assessment_bucketed(g: Given) -> DataFrame:
+    """Submissions from hubs, a link and satellites stored in buckets of their keys."""
+    stored, t = BucketedVault(g.spark, new_path(g.spark, "buckets"), buckets=8), g.tables()
+    names = ["link_student_assessment", "sat_student_assessment_result", "hub_student",
+             "hub_assessment", "sat_assessment_details"]
+    for name in names:
+        stored.load(t[name], name)
+    return stored.tables(t, names)["bv_student_assessment"]
+
+
 # --- streams -------------------------------------------------------------------------------
 
 #: Longer than the supplied clicks span: no click is late.
