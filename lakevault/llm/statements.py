@@ -168,11 +168,85 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
   CAST(CASE WHEN grown = 'x24' THEN 24 ELSE s END AS INT) AS grown_shard
 FROM d JOIN shard USING (rid)"""
 
+def _edit(state: str, cost: str, letter: str, turn: str = "''") -> str:
+    """A state's (cost, audit, repaired text) after one more edit."""
+    return (f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {turn}}}")
+
+
+_LINE = "chr(10) || "
+_PUT_USER, _PUT_ASSISTANT = _LINE + "'user:'", _LINE + "'assistant:'"
+_NEVER = "{'c': 1000000, 'a': '', 't': ''}"
+_OPEN = ("least(su, " + ", ".join(_edit(x, "2", "I", _PUT_USER) for x in ("s0", "ss", "sa")) + ")")
+_CLOSED = "least(sa, " + _edit("pu", "2", "I", _PUT_ASSISTANT) + ")"
+
+
+def _taken(letter: str, cost: str, role: str | None, when: str, *states: str) -> list[str]:
+    """What a row that is kept or rerolled from these states makes, where it may be."""
+    line = _LINE + (f"'{role}:' || text" if role else "role || ':' || text")
+    return [f"CASE WHEN {when} THEN {_edit(x, f'{cost} + trunc::INT', letter, line)} ELSE {_NEVER} END"
+            for x in states]
+
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_STAYS = "NOT blank AND NOT dup"
+_NEW_U = ", ".join([_edit("pu", "3", "D"),
+                    *_taken("K", "0", None, f"{_STAYS} AND ini = 'u'", "s0", "ss", "pa"),
+                    *_taken("R", "2", "user", _STAYS, "s0", "ss", "pa")])
+_NEW_A = ", ".join([_edit("pa", "3", "D"), *_taken("K", "0", None, f"{_STAYS} AND ini = 'a'", "pu"),
+                    *_taken("R", "2", "assistant", _STAYS, "pu")])
+_NEW_S = ", ".join([_edit("ss", "3", "D"), *_taken("K", "0", None, f"{_STAYS} AND ini = 's'", "s0")])
+
+REPAIR = f"""
+WITH RECURSIVE {_CRC.strip()},
+src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")}
+      % 20 AS code
+  FROM conversations, crc),
+rows_ AS (
+  SELECT conv_id, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE code WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM src),
+placed AS (
+  SELECT *, trim(text, {_BLANKS}) AS body, left(role, 1) AS ini,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), md5(text)) AS i
+  FROM rows_),
+seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM placed),
+f AS (
+  SELECT *, body = '' AS blank, body <> '' AND again AS dup,
+    body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS trunc,
+    lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM seen),
+dp AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, {{'c': 0, 'a': '', 't': ''}} AS s0, {_NEVER} AS ss,
+    {_NEVER} AS su, {_NEVER} AS sa FROM conversations
+  UNION ALL
+  SELECT o.conv_id, f.i, {_edit("s0", "3", "D")}, least({_NEW_S}), least({_NEW_U}), least({_NEW_A})
+  FROM (SELECT *, {_CLOSED} AS pa FROM (SELECT *, {_OPEN} AS pu FROM dp)) o
+  JOIN f ON f.conv_id IS NOT DISTINCT FROM o.conv_id AND f.i = o.i + 1),
+done AS (
+  SELECT conv_id, least(s0, {_CLOSED}) AS best FROM (
+    SELECT *, {_OPEN} AS pu FROM dp QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1)),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate,
+    count(*) FILTER (trunc) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id)
+SELECT done.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(best.c AS BIGINT) AS cost, best.a AS audit,
+  sha256(substr(best.t, 2)) AS repaired_sha256
+FROM done LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM done.conv_id"""
+
 ORACLES: dict[str, str] = {
     "op2_chat_formatting": CHAT,
     "op3_url_filters": URLS,
     "op7_warc": WARC,
     "op11_sharding": SHARDS,
+    "op13_conversation_repair": REPAIR,
     "op10_quality_rules":
         "SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, "
         f"base_failed, kept FROM ({quality()})",
