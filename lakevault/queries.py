@@ -384,7 +384,7 @@ def stream_dedup_sum_clicks(g: Given) -> DataFrame:
     """Clicks with repeated keys, landing in two halves that share many keys, summed as they come."""
     at, key = Landing(g, "stream_dedup"), SPECS["studentVle"].pk
     for half in (0, 1):
-        schema = at.land(g.clicks_in_order.filter(F.col("sum_click") % 2 == half), 1)
+        schema = at.land(g.clicks_in_order.filter(F.pmod("sum_click", F.lit(2)) == half), 1)
         landing.drain(repeats.summed(at.stream(schema), key, "line"),
                       repeats.into_log(at.warehouse.root, "bronze", "clicks_log"),
                       at.checkpoint, "update")
