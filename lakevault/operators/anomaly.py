@@ -130,7 +130,7 @@ def score_anomalies(df: DataFrame, detected_at: datetime, z_limit: float | None
 def vle_before_registration(clicks: DataFrame, registrations: DataFrame) -> DataFrame:
     """Clicks dated before the student registered for the offering."""
     reg = registrations.select(*ENROLMENT, "date_registration")
-    return clicks.join(reg, ENROLMENT).filter("date < date_registration").withColumn(
+    return clicks.join(reg.hint("merge"), ENROLMENT).filter("date < date_registration").withColumn(
         "anomaly_reason", F.lit("vle_before_registration"))
 
 
@@ -144,7 +144,7 @@ def assessment_before_registration(submissions: DataFrame, registrations: DataFr
     """
     reg = registrations.select(*ENROLMENT, "date_registration")
     return submissions.join(
-        reg, (submissions["id_student"] == reg["id_student"])
+        reg.hint("merge"), (submissions["id_student"] == reg["id_student"])
         & (submissions["date_submitted"] < reg["date_registration"]),
     ).drop(reg["id_student"]).withColumn(
         "anomaly_reason", F.lit("assessment_before_registration"))
@@ -184,7 +184,7 @@ def assessment_before_registration_strict(submissions: DataFrame, assessments: D
     offering = assessments.select("id_assessment", *OFFERING)
     reg = registrations.select(*ENROLMENT, "date_registration")
     return (
-        submissions.join(offering, "id_assessment").join(reg, ENROLMENT)
+        submissions.join(offering.hint("merge"), "id_assessment").join(reg.hint("merge"), ENROLMENT)
         .filter("date_submitted < date_registration")
         .withColumn("anomaly_reason", F.lit("assessment_before_registration"))
     )
@@ -194,7 +194,7 @@ def activity_after_unregistration(clicks: DataFrame, registrations: DataFrame) -
     """Clicks dated after the student left the offering (day 0 means never left)."""
     left = registrations.filter("date_unregistration <> 0").select(
         *ENROLMENT, "date_unregistration")
-    return clicks.join(left, ENROLMENT).filter("date > date_unregistration").withColumn(
+    return clicks.join(left.hint("merge"), ENROLMENT).filter("date > date_unregistration").withColumn(
         "anomaly_reason", F.lit("activity_after_unregistration"))
 
 
@@ -205,8 +205,8 @@ def zero_activity_exam(submissions: DataFrame, assessments: DataFrame, clicks: D
     totals = clicks.groupBy(*ENROLMENT).agg(F.sum("sum_click").alias("total_clicks"))
     return (
         submissions.filter("score is not null")
-        .join(exams, "id_assessment")
-        .join(totals, ENROLMENT, "left")
+        .join(exams.hint("merge"), "id_assessment")
+        .join(totals.hint("merge"), ENROLMENT, "left")
         .withColumn("total_clicks", F.coalesce("total_clicks", F.lit(0)))
         .filter(F.col("total_clicks") < min_clicks)
         .select(*submissions.columns, *OFFERING, "total_clicks")

@@ -16,12 +16,13 @@ def rollup(clicks: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str
     """Clicks summed per ``by`` columns and period, with distinct site and activity counts.
 
     One grouping with three distinct counts would copy every click row once per distinct column
-    before the shuffle. Instead the clicks first collapse to one row per (group, site), with the
-    days seen as a bit set (a week has only seven), and the site metadata is joined to that
-    smaller frame, which leaves a single distinct count for the second reduction.
+    before the shuffle. Instead the clicks meet their site, collapse there to one row per (group,
+    site), with the days seen as a bit set (a week has only seven), and leave without the site's key,
+    which leaves a single distinct count for the second reduction.
 
-    Both groupings reduce in the tasks that read the rows before they shuffle, so the clicks are
-    read once and no student's, week's or site's rows meet in one task unreduced.
+    The clicks are read once and shuffled twice, by site and by ``by``; both groupings, and what is
+    grouped or joined by ``by`` behind them, stay where the rows are. A hot site is split by adaptive
+    skew joins; only its reduced rows go on.
 
     ``sites`` may hold several rows per site (all satellite versions): sums then multiply as in a
     plain join, while distinct counts do not. ``unique_sites=True`` skips the numbering that
@@ -34,8 +35,9 @@ def rollup(clicks: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str
     per_site_key = list(dict.fromkeys([*group, site_key, *join_on]))
     rows = clicks.withColumn("week_number", week_number(F.col("date"))) if weekly else clicks
     rows = rows.select(*dict.fromkeys([*per_site_key, "date", "sum_click"]))
-    states = rows.groupBy(*per_site_key).agg(*site_states())
-    return from_states(states, sites, by, site_key, join_on, period, unique_sites)
+    met = _with_site(rows, sites, join_on, unique_sites)
+    states = met.groupBy(*per_site_key, "_copy", "activity_type").agg(*site_states())
+    return _per_group(states, by, site_key, period)
 
 
 #: What is kept of the clicks of a (group, period, site): how two such states become one.
@@ -60,25 +62,38 @@ def newer_rows(stored: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFra
     """The rows of both; of a key that both have, the new ones, NULL being a key like any other."""
     mine = new.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)])
     same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)]
-    return stored.select(*new.columns).join(mine, same, "left_anti").unionByName(new)
+    return stored.select(*new.columns).join(mine.hint("merge"), same, "left_anti").unionByName(new)
 
 
 def from_states(states: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str,
                 join_on: Sequence[str], period: str, unique_sites: bool = False) -> DataFrame:
     """The rollup per group and period from the states of its sites."""
-    group = [*by, period]
+    return _per_group(_with_site(states, sites, join_on, unique_sites), by, site_key, period)
+
+
+def _with_site(rows: DataFrame, sites: DataFrame, join_on: Sequence[str], unique_sites: bool,
+               ) -> DataFrame:
+    """Rows with the activity type of each row of their site, which ``_copy`` numbers."""
+    # never a broadcast: sites grow with the courses, and a plan's guess of their size can be far off
     meta = sites.select(*join_on, "activity_type")
     if unique_sites:
         meta = meta.withColumn("_copy", F.lit(1))
     else:
         order = Window.partitionBy(*join_on).orderBy("activity_type")
         meta = meta.withColumn("_copy", F.row_number().over(order))
+    return rows.join(meta.hint("merge"), list(join_on), "left")
+
+
+def _per_group(states: DataFrame, by: Sequence[str], site_key: str, period: str) -> DataFrame:
+    """The rollup from the states of sites that carry their activity type."""
+    group = [*by, period]
     first_copy = F.col(site_key).isNotNull() & (F.coalesce(F.col("_copy"), F.lit(1)) == 1)
-    out = states.join(meta, list(join_on), "left").groupBy(*group).agg(
+    moved = states.select(*group, *STATES, "activity_type", first_copy.alias("_first"))
+    out = moved.repartition(*by).groupBy(*group).agg(
         F.bit_or("_days").alias("_days"),
         F.sum("_clicks").alias("total_clicks"),
         F.sum("_rows").alias("_rows"),
-        F.count_if(first_copy).alias("unique_resources"),
+        F.count_if("_first").alias("unique_resources"),
         F.count_distinct("activity_type").alias("unique_activity_types"),
         F.max("_max").alias("max_daily_clicks"),
     )

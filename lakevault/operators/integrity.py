@@ -30,7 +30,7 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     else:
         hashed = df.select(*key, F.xxhash64(*key).alias("_hash"))
         twice = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-        suspects = hashed.join(twice.select("_hash"), "_hash", "left_semi")
+        suspects = hashed.join(twice.select("_hash").hint("merge"), "_hash", "left_semi")
     return suspects.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
@@ -71,9 +71,10 @@ def column_tests(df: DataFrame, name: str, not_null: Sequence[str] = (),
 
 def orphans(child: DataFrame, child_key: Sequence[str], parent: DataFrame,
             parent_key: Sequence[str]) -> DataFrame:
-    """Child rows without a parent; a NULL key has none. A hot key splits under the skew join."""
+    """Child rows without a parent; a NULL key has none. A hot key splits under the skew join;
+    parents are not broadcast, whatever a plan guesses of their size."""
     keys = parent.select(*[F.col(p).alias(c) for c, p in zip(child_key, parent_key, strict=True)])
-    return child.join(keys, list(child_key), "left_anti")
+    return child.join(keys.hint("merge"), list(child_key), "left_anti")
 
 
 def _key_text(columns: Sequence[str]) -> Column:

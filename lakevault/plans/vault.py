@@ -125,7 +125,7 @@ def sat_student_enrollment(t: Tables) -> DataFrame:
         "final_result": F.coalesce("final_result", F.lit("Unknown")),
         "registration_timing": L.registration_timing(F.col("date_registration")),
     }
-    rows = t["bronze_student_registration"].join(info, key, "left").select(
+    rows = t["bronze_student_registration"].join(info.hint("merge"), key, "left").select(
         *_null_together(tuple(key), (key,)),
         *[c.alias(n) for n, c in tracked.items()]).distinct()
     return rows.select(
