@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakevault import functions as L
 from lakevault.operators import engagement
+from lakevault.sources.shared import stored as kept
 from lakevault.sources.warehouse import Warehouse
 
 ENROLMENT = ["id_student", "code_module", "code_presentation"]
@@ -49,7 +50,7 @@ def refresh(warehouse: Warehouse, clicks: DataFrame, sites: DataFrame, load: int
     """Add the clicks of a load, numbered upwards within its ``source``, to the stored states and
     roll up the weeks that it touches; returns the parts that were written."""
     once = (source, load)
-    states = states_of(clicks)
+    states = kept(states_of(clicks), "load-states")  # asked for three times
     touched = warehouse.upsert(states, LAYER, NAME, KEY, part(weeks), once, engagement.merged_states)
     rollup = [*ENROLMENT, "week_number"]
     changed = states.select("code_presentation", "week_number").distinct()

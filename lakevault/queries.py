@@ -321,18 +321,21 @@ class Landing:
         self.spark, self.root = g.spark, new_path(g.spark, name)
         self.folder, self.checkpoint = f"{self.root}/landing", f"{self.root}/checkpoint"
         self.warehouse = Warehouse(g.spark, f"{self.root}/warehouse")
+        #: Files that land together: a part of the rows is written and read by as many tasks.
+        self.width = g.spark.sparkContext.defaultParallelism
 
-    def land(self, rows: DataFrame, files: int) -> StructType:
-        rows.repartition(files).write.mode("append").parquet(self.folder)
+    def land(self, rows: DataFrame, parts: int) -> StructType:
+        rows.repartition(parts * self.width).write.mode("append").parquet(self.folder)
         return rows.schema
 
-    def stream(self, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
-        return landing.landed(self.spark, self.folder, schema, files_per_batch=files_per_batch)
+    def stream(self, schema: StructType, parts_per_batch: int | None = None) -> DataFrame:
+        files = parts_per_batch * self.width if parts_per_batch else None
+        return landing.landed(self.spark, self.folder, schema, files_per_batch=files)
 
 
 @query
 def stream_txn_student_vle_click(g: Given) -> DataFrame:
-    """The click transactions, taken from landed files one at a time in two runs."""
+    """The click transactions, taken from landed files one part at a time in two runs."""
     at = Landing(g, "stream_txn")
     sink = vault.into_vault(at.warehouse.root, "student_vle", ["txn_student_vle_click"], LOAD_TS)
     for late in (False, True):
@@ -353,15 +356,15 @@ def stream_sat_append_2nd_load(g: Given) -> DataFrame:
     return at.warehouse.read("dv", "sat_assessment_details")
 
 
-def _weekly(at: Landing, schema: StructType, delay: str, files_per_batch: int | None) -> None:
-    clicks = Tables({"student_vle": at.stream(schema, files_per_batch)}, LOAD_TS)
+def _weekly(at: Landing, schema: StructType, delay: str, parts_per_batch: int | None) -> None:
+    clicks = Tables({"student_vle": at.stream(schema, parts_per_batch)}, LOAD_TS)
     landing.drain(weekly.states(clicks["bronze_student_vle"], delay),
                   weekly.into_states(at.warehouse.root), at.checkpoint, "update")
 
 
 @query
 def stream_engagement_weekly(g: Given) -> DataFrame:
-    """Weekly engagement from clicks that land in no order, a file a batch."""
+    """Weekly engagement from clicks that land in no order, a part a batch."""
     at = Landing(g, "stream_weekly")
     _weekly(at, at.land(g.student_vle, 3), NEVER_LATE, 1)
     return engagement_state.summary(at.warehouse.read(weekly.LAYER, weekly.NAME),

@@ -21,6 +21,7 @@ from lakevault import functions as L
 from lakevault.functions.scalars import DAYS_PER_WEEK
 from lakevault.operators import engagement
 from lakevault.plans.engagement_state import KEY, LAYER, NAME, part
+from lakevault.sources.shared import stored
 from lakevault.sources.warehouse import Warehouse
 from lakevault.streaming.landing import Batch, Sink
 
@@ -52,8 +53,10 @@ def states(clicks: DataFrame, delay: str) -> DataFrame:
 def into_states(root: str) -> Sink:
     """A sink that replaces changed states in the stored table."""
     def write(rows: DataFrame, batch: Batch) -> None:
+        # the upsert asks for its rows several times; each time the state would be read and written
+        changed = stored(rows.drop(WEEK_END), "changed-states")
         Warehouse(rows.sparkSession, root).upsert(
-            rows.drop(WEEK_END), LAYER, NAME, KEY, part(), batch, engagement.newer_rows)
+            changed, LAYER, NAME, KEY, part(), batch, engagement.newer_rows)
     return write
 
 

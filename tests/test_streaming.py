@@ -8,6 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from lakevault import queries
 from lakevault.given import Given
 from lakevault.operators import ingest
 from lakevault.plans import MODELS, Tables
@@ -195,3 +196,26 @@ def test_refreshed_loads_equal_one_build(spark, tmp_path, weeks):
 
 def test_specs_name_the_click_key():
     assert list(SPECS["studentVle"].pk) == ["id_student", "id_site", "date"]
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    """The sink asks for its rows several times; the stateful part runs once a batch."""
+    at, seen = Place(spark, tmp_path), spark.sparkContext.accumulator(0)
+
+    def counted_rows(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    stream = at.land(clicks(spark, (1, 10, 0, 5), (2, 11, 3, 1))).mapInArrow(counted_rows, CLICK)
+    assert engaged(at, stream, "10000 days") == 0
+    assert seen.value == 2 and at.warehouse.read(weekly.LAYER, weekly.NAME).count() == 2
+
+
+def test_a_part_lands_in_as_many_files_as_tasks(spark):
+    at, width = queries.Landing(Given(spark, SF), "parts"), spark.sparkContext.defaultParallelism
+    schema, batches = at.land(spark.range(1000).toDF("n"), 2), []
+    landing.drain(at.stream(schema, 1), lambda rows, batch: batches.append(
+        (rows.count(), rows.rdd.getNumPartitions())), f"{at.root}/checkpoint")
+    assert sum(n for n, _ in batches) == 1000 and len(batches) == 2
+    assert all(len(spark.read.parquet(at.folder).inputFiles()) == 2 * width for _ in batches)
