@@ -1,11 +1,12 @@
 """Repeated keys summed on a stream, with corrections.
 
 The batch form (``operators.ingest.dedup_sum``) sees a file whole and returns one row per key. On a
-stream a key may come again in any later batch. State per key holds the sums so far, the first
-non-null value of every other column by the row order, and how often the row was handed on. Every
-batch hands on the keys it changed: revision 1 when a key is new, a higher one as a correction that
-replaces what was handed on before. The newest revision of every key is what the batch form returns
-for all rows taken together.
+stream a key may come again in any later batch. A grouping that the stream keeps holds, per key, the
+sums so far, the first non-null value of every other column by the row order, and the times of the
+batches that had the key, whose number is how often the row was handed on. Every batch hands on the
+keys it changed: revision 1 when a key is new, a higher one as a correction that replaces what was
+handed on before. The newest revision of every key is what the batch form returns for all rows taken
+together.
 
 The batch form's rule that missing numbers become 0 as soon as any key repeats depends on rows that
 have not come yet, so a sum of nothing stays NULL here (``null_sum="keep"``). Rows with a NULL in the
@@ -14,12 +15,11 @@ key are passed over, as the batch form does as soon as any key repeats.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lakevault.sources.warehouse import Warehouse
 from lakevault.streaming.landing import Batch, Sink
@@ -27,54 +27,25 @@ from lakevault.streaming.landing import Batch, Sink
 REVISION, CORRECTS = "_revision", "_corrects"
 
 
-class _Sums(StatefulProcessor):
-    """One key: its sums, first values and the order these came from."""
-
-    def __init__(self, key: Sequence[str], numeric: Sequence[str], first: Sequence[str],
-                 state: T.StructType):
-        self.key, self.numeric, self.first, self.schema = key, numeric, first, state
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("sums", self.schema)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = self.state.get()
-        now = dict(zip(self.schema.names, held, strict=True)) if held is not None else dict.fromkeys(
-            self.schema.names) | {REVISION: 0}
-        before = now[REVISION] > 0
-        for row in rows:
-            for c in self.numeric:
-                if row[c] is not None:
-                    now[c] = row[c] if now[c] is None else now[c] + row[c]
-            for c in self.first:
-                if row[c] is not None and (now[f"_at_{c}"] is None or row["_order"] < now[f"_at_{c}"]):
-                    now[c], now[f"_at_{c}"] = row[c], row["_order"]
-        now[REVISION] += 1
-        self.state.update(tuple(now[c] for c in self.schema.names))
-        yield Row(**dict(zip(self.key, key, strict=True)),
-                  **{c: now[c] for c in (*self.numeric, *self.first, REVISION)}, **{CORRECTS: before})
-
-    def close(self) -> None:
-        pass
-
-
 def summed(rows: DataFrame, key: Sequence[str], order_by: str) -> DataFrame:
     """The stream of changed keys: columns of ``rows`` without ``order_by`` (a whole number), the
     revision, and whether it corrects an earlier row. Output mode ``update``."""
-    values = [f for f in rows.schema.fields if f.name not in key and f.name != order_by]
-    numeric = [f for f in values if isinstance(f.dataType, T.NumericType)]
-    first = [f for f in values if f not in numeric]
-    state = T.StructType([T.StructField(f.name, f.dataType) for f in (*numeric, *first)]
-                         + [T.StructField(f"_at_{f.name}", T.LongType()) for f in first]
-                         + [T.StructField(REVISION, T.LongType())])
-    out = T.StructType([T.StructField(k, rows.schema[k].dataType) for k in key]
-                       + [T.StructField(f.name, f.dataType) for f in (*numeric, *first)]
-                       + [T.StructField(REVISION, T.LongType()), T.StructField(CORRECTS, T.BooleanType())])
-    keyed = rows.dropna(subset=list(key)).withColumn("_order", F.col(order_by).cast("long"))
-    made = keyed.groupBy(*key).transformWithState(
-        statefulProcessor=_Sums(list(key), [f.name for f in numeric], [f.name for f in first], state),
-        outputStructType=out, outputMode="update", timeMode="none")
-    return made.select(*[f.name for f in rows.schema.fields if f.name != order_by], REVISION, CORRECTS)
+    aggs = []
+    for f in rows.schema.fields:
+        if f.name in key or f.name == order_by:
+            continue
+        if isinstance(f.dataType, T.NumericType):
+            aggs.append(F.sum(f.name).cast(f.dataType).alias(f.name))
+        else:
+            first = f"min_by(`{f.name}`, _order) filter (where `{f.name}` is not null)"
+            aggs.append(F.expr(first).alias(f.name))
+    # on a stream the current time is that of the batch, which a batch keeps when it is run again
+    keyed = rows.dropna(subset=list(key)).withColumns({
+        "_order": F.col(order_by).cast("long"), "_batch": F.current_timestamp()})
+    revision = F.size(F.collect_set("_batch")).cast("long")
+    made = keyed.groupBy(*key).agg(*aggs, revision.alias(REVISION))
+    return made.select(*[f.name for f in rows.schema.fields if f.name != order_by], REVISION,
+                       (F.col(REVISION) > 1).alias(CORRECTS))
 
 
 def into_log(root: str, layer: str, name: str) -> Sink:

@@ -166,6 +166,25 @@ def test_sums_survive_a_restart_and_corrections_are_told(spark, tmp_path):
         (1, 10, 0, 2, 11, 18)]
 
 
+def test_sums_are_a_grouping_of_the_stream(spark, tmp_path):
+    """No Python runs for a key; a key that has several rows in a batch is handed on once."""
+    at, key, n = Place(spark, tmp_path), ["id_student", "id_site", "date"], None
+    form = "id_student long, id_site long, date long, sum_click int, score double, line int"
+    batches = [[(1, 10, 0, 5, None, 4), (1, 10, 0, 1, None, 2), (2, 10, 0, n, n, 1)],
+               [(2, 10, 0, n, 1.5, 1), (3, 10, 0, 7, n, 1), (3, 10, n, 7, n, 1)],
+               [(1, 10, 0, 2, 0.5, 9), (2, 10, 0, n, n, 2), (2, 10, 0, n, n, 3)]]
+    for rows in batches:
+        out = repeats.summed(at.land(spark.createDataFrame(rows, form)), key, "line")
+        assert "TransformWithState" not in out._jdf.queryExecution().analyzed().toString()
+        landing.drain(out, repeats.into_log(at.warehouse.root, "bronze", "log"), at.checkpoint, "update")
+    log = at.warehouse.read("bronze", "log")
+    assert log.schema["sum_click"].dataType.simpleString() == "int"
+    assert counted(log) == collections.Counter([
+        (1, 10, 0, 6, None, 1, False), (2, 10, 0, None, None, 1, False),
+        (2, 10, 0, None, 1.5, 2, True), (3, 10, 0, 7, None, 1, False),
+        (1, 10, 0, 8, 0.5, 2, True), (2, 10, 0, None, 1.5, 3, True)])
+
+
 def test_refresh_leaves_other_weeks_unread(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path))
     one = clicks(spark, (1, 10, 0, 5), (1, 10, 30, 5), (2, 11, 0, 1))
