@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from lakevault.functions import ratio, week_number
 from lakevault.functions.scalars import DAYS_PER_WEEK
+from lakevault.operators.hashed import head_of, headed, met
 
 
 def rollup(clicks: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str,
-           join_on: Sequence[str], period: str, unique_sites: bool = False) -> DataFrame:
+           join_on: Sequence[str], period: str, unique_sites: bool = False,
+           made: Column | None = None) -> DataFrame:
     """Clicks summed per ``by`` columns and period, with distinct site and activity counts.
 
     One grouping with three distinct counts would copy every click row once per distinct column
@@ -26,17 +28,22 @@ def rollup(clicks: DataFrame, sites: DataFrame, by: Sequence[str], site_key: str
 
     ``sites`` may hold several rows per site (all satellite versions): sums then multiply as in a
     plain join, while distinct counts do not. ``unique_sites=True`` skips the numbering that
-    guards the site count when the caller knows each site occurs once.
+    guards the site count when the caller knows each site occurs once. ``made`` makes the one key of
+    ``join_on`` from clicks that do not carry it, which ``site_key`` and ``by`` stand for.
     """
     weekly = period == "week_number"
     if not weekly and period != "date":
         raise ValueError(f"period must be 'date' or 'week_number', not {period!r}")
     group = [*by, period]
-    per_site_key = list(dict.fromkeys([*group, site_key, *join_on]))
     rows = clicks.withColumn("week_number", week_number(F.col("date"))) if weekly else clicks
+    moved_by = list(join_on)
+    if made is not None:
+        moved_by = [head_of(join_on[0])]
+        rows = headed(rows, join_on[0], made)
+    per_site_key = list(dict.fromkeys([*group, site_key, *moved_by]))
     rows = rows.select(*dict.fromkeys([*per_site_key, "date", "sum_click"]))
-    met = _with_site(rows, sites, join_on, unique_sites)
-    states = met.groupBy(*per_site_key, "_copy", "activity_type").agg(*site_states())
+    with_site = _with_site(rows, sites, join_on, unique_sites, made)
+    states = with_site.groupBy(*per_site_key, "_copy", "activity_type").agg(*site_states())
     return _per_group(states, by, site_key, period)
 
 
@@ -72,7 +79,7 @@ def from_states(states: DataFrame, sites: DataFrame, by: Sequence[str], site_key
 
 
 def _with_site(rows: DataFrame, sites: DataFrame, join_on: Sequence[str], unique_sites: bool,
-               ) -> DataFrame:
+               made: Column | None = None) -> DataFrame:
     """Rows with the activity type of each row of their site, which ``_copy`` numbers."""
     # never a broadcast: sites grow with the courses, and a plan's guess of their size can be far off
     meta = sites.select(*join_on, "activity_type")
@@ -81,6 +88,8 @@ def _with_site(rows: DataFrame, sites: DataFrame, join_on: Sequence[str], unique
     else:
         order = Window.partitionBy(*join_on).orderBy("activity_type")
         meta = meta.withColumn("_copy", F.row_number().over(order))
+    if made is not None:
+        return met(rows, meta, join_on[0], made)
     return rows.join(meta.hint("merge"), list(join_on), "left")
 
 

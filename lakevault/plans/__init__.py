@@ -6,6 +6,6 @@ from lakevault.plans import silver  # noqa: F401  isort: skip
 from lakevault.plans import vault  # noqa: F401  isort: skip
 from lakevault.plans import gold  # noqa: F401  isort: skip
 from lakevault.plans import business  # noqa: F401  isort: skip
-from lakevault.plans.catalog import MODELS, Model, Tables
+from lakevault.plans.catalog import MODELS, Model, Tables, Unhashed
 
-__all__ = ["MODELS", "Model", "Tables"]
+__all__ = ["MODELS", "Model", "Tables", "Unhashed"]

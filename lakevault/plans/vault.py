@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakevault import functions as L
-from lakevault.plans.catalog import Tables, model
+from lakevault.plans.catalog import Tables, Unhashed, model
 
 OFFERING = ["code_module", "code_presentation"]
 
@@ -61,14 +61,24 @@ def hub_vle(t: Tables) -> DataFrame:
     return _hub(t, "bronze_vle", "hk_vle", "id_site")
 
 
-def _link(t: Tables, source: str, hk: str, parts: dict[str, list[str]]) -> DataFrame:
+STAMP = ["dv_load_date", "dv_source"]
+
+
+def _parts(*keys: list[str]) -> tuple[list[Column], list[str]]:
+    """What hub keys are the hashes of, as columns that travel in their place, and their names: an
+    id, or the joined text of a key of several columns."""
+    names = [f"_{'_'.join(key)}" for key in keys]
+    return [(F.col(key[0]) if len(key) == 1 else L.joined(*key)).alias(name)
+            for key, name in zip(keys, names, strict=True)], names
+
+
+def _link(t: Tables, source: str, hk: str, parts: dict[str, list[str]]) -> Unhashed:
     """``parts`` maps each hub key to its business columns; the link key joins them in order."""
     cols = [c for business in parts.values() for c in business]
-    return _distinct(t, source, *cols, keys=tuple(parts.values())).select(
-        L.hash_key(*cols).alias(hk),
-        *[L.hash_key(*business).alias(hub) for hub, business in parts.items()],
-        *t.stamp,
-    )
+    made, names = _parts(*parts.values())
+    rows = _distinct(t, source, *cols, keys=tuple(parts.values())).select(*made, *t.stamp)
+    hubs = {hub: L.hash_key(name) for hub, name in zip(parts, names, strict=True)}
+    return Unhashed(rows, {hk: L.hash_key(*names), **hubs}, [hk, *parts, *STAMP])
 
 
 @model("dv", "upsert", ("hk_student_enrollment",),
@@ -154,12 +164,14 @@ def sat_assessment_details(t: Tables) -> DataFrame:
 
 
 @model("dv", "append", ("hk_student_assessment",))
-def sat_student_assessment_result(t: Tables) -> DataFrame:
+def sat_student_assessment_result(t: Tables) -> Unhashed:
     tracked = ["date_submitted", "is_banked", "score"]
     key = ["id_student", "id_assessment"]
-    return _distinct(t, "bronze_student_assessment", *key, *tracked, keys=(key,)).select(
-        L.hash_key(*key).alias("hk_student_assessment"),
-        L.hashdiff(*tracked).alias("hk_hashdiff"), *tracked, *t.stamp)
+    made, names = _parts(*[[c] for c in key])
+    rows = t["bronze_student_assessment"].select(*_null_together((*key, *tracked), (key,))).select(
+        *made, *tracked, *t.stamp)
+    hashes = {"hk_student_assessment": L.hash_key(*names), "hk_hashdiff": L.hashdiff(*tracked)}
+    return Unhashed(rows, hashes, [*hashes, *tracked, *STAMP], repeats=True)
 
 
 @model("dv", "append", ("hk_vle",))
@@ -173,10 +185,10 @@ def sat_vle_details(t: Tables) -> DataFrame:
 
 
 @model("dv", non_null=("hk_student", "hk_vle", "date"))
-def txn_student_vle_click(t: Tables) -> DataFrame:
+def txn_student_vle_click(t: Tables) -> Unhashed:
     """Every click row with its three hash keys: a plain projection, nothing is shuffled."""
-    return t["bronze_student_vle"].select(
-        L.hash_key("id_student").alias("hk_student"),
-        L.hash_key("id_site").alias("hk_vle"),
-        L.hash_key(*OFFERING).alias("hk_course_offering"),
-        "date", "sum_click", *t.stamp)
+    keys = {"hk_student": ["id_student"], "hk_vle": ["id_site"], "hk_course_offering": OFFERING}
+    made, names = _parts(*keys.values())
+    rows = t["bronze_student_vle"].select(*made, "date", "sum_click", *t.stamp)
+    hashes = {hk: L.hash_key(name) for hk, name in zip(keys, names, strict=True)}
+    return Unhashed(rows, hashes, [*hashes, "date", "sum_click", *STAMP])
