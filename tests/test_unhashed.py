@@ -83,6 +83,17 @@ def test_keys_are_compared_where_their_bits_agree(t, monkeypatch):
     assert [rows(other[n]) for n in names] == want
 
 
+@pytest.mark.parametrize("name", [LINK, SAT])
+def test_two_loads_meet_unhashed_as_they_meet_hashed(spark, t, name, monkeypatch):
+    first = t.with_frames({"student_assessment": t["student_assessment"].filter("score > 50 or score is null")})
+    first.load_ts = datetime(2023, 1, 1)
+    monkeypatch.setattr(queries, "_loads", lambda g: (first, t))
+    got = queries._after_two_loads(None, True)[name]
+    monkeypatch.setattr(queries, "_loads", lambda g: (hashed_first(first), hashed_first(t)))
+    want = queries._after_two_loads(None, True)[name]
+    assert rows(got) == rows(want) and want.count() > t[name].count() - 1
+
+
 @pytest.fixture
 def not_adaptive(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -98,7 +109,7 @@ def moved(df):
         r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", text)]
 
 
-@pytest.mark.parametrize("name", ["bv_student_assessment"])
+@pytest.mark.parametrize("name", ["bv_student_assessment", "bv_student_assessment_all_versions"])
 def test_submissions_move_without_hashes(spark, not_adaptive, name):
     found = [m for m in moved(queries.QUERIES[name](spark, SMALL)) if "_id_assessment" in m]
     assert len(found) >= 4
