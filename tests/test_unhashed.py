@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from lakevault import queries
 from lakevault.given import Given
 from lakevault.operators import hashed
-from lakevault.plans import MODELS, Tables
+from lakevault.plans import MODELS, Tables, Unhashed
 from lakevault.schemas import BY_TABLE
+from lakevault.sources.bucketed import BucketedVault
 
 TS = datetime(2024, 1, 1, 5)
 SMALL = "/root/testdata/sf0.001"
@@ -120,3 +121,20 @@ def test_clicks_move_without_hashes(spark, not_adaptive):
     found = [m for m in moved(Given(spark, SMALL).tables()["bv_engagement_weekly"]) if "_id_student" in m]
     assert len(found) == 2
     assert not [c for m in found for c in m if c.startswith("hk_") and not c.endswith("_head")], found
+
+
+def test_buckets_of_unhashed_rows(spark, t, tmp_path):
+    """Loads of unhashed rows give the tables and the view that loads of hashed ones give."""
+    names = [LINK, SAT, "hub_student", "hub_assessment", "sat_assessment_details"]
+    lazy, plain = (BucketedVault(spark, str(tmp_path / n), buckets=4) for n in ("lazy", "plain"))
+    for again in range(2):
+        for n in names:
+            plain.load(t[n], n)
+            lazy.load(t.unhashed(n) or t[n], n)
+            if n == LINK or not again:
+                assert rows(lazy.read(n).select(plain.read(n).columns)) == rows(plain.read(n))
+    assert isinstance(lazy._opened(t, LINK), Unhashed) and not isinstance(plain._opened(t, LINK), Unhashed)
+    assert rows(lazy.tables(t, names)["bv_student_assessment"]) == rows(
+        plain.tables(t, names)["bv_student_assessment"])
+    new = moved(lazy.tables(t, names)["bv_student_assessment"])
+    assert not [m for m in new if "_id_assessment" in m and "hk_student" in m]
