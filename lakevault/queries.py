@@ -42,7 +42,7 @@ from lakevault.schemas import SPECS
 from lakevault.sources import audit, csv_files
 from lakevault.sources.bucketed import BucketedVault, as_bytes, as_hex
 from lakevault.sources.shared import new_path
-from lakevault.sources.warehouse import Warehouse
+from lakevault.sources.warehouse import COMPRESSION, Warehouse
 from lakevault.streaming import landing, repeats, vault, weekly
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -342,7 +342,8 @@ class Landing:
         self.width = g.spark.sparkContext.defaultParallelism
 
     def land(self, rows: DataFrame, parts: int) -> StructType:
-        rows.repartition(parts * self.width).write.mode("append").parquet(self.folder)
+        rows.repartition(parts * self.width).write.mode("append").option(
+            "compression", COMPRESSION).parquet(self.folder)
         return rows.schema
 
     def stream(self, schema: StructType, parts_per_batch: int | None = None) -> DataFrame:

@@ -22,6 +22,9 @@ from lakevault.operators.incremental import new_versions, newer_than_stored, ups
 # Tables with upserts are stored in so many parts by a hash of the key; a batch rewrites only
 # those that it touches.
 KEY_PARTS = 64
+# Most of a vault table are hash keys in hexadecimal digits: this writes a digit in half a byte, the
+# default in a whole one.
+COMPRESSION = "zstd"
 _PART = "_key_part"
 
 
@@ -107,7 +110,7 @@ class Warehouse:
         """A new segment, not yet part of the table."""
         segment = f"{kind}-{uuid.uuid4().hex}"
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-        writer.parquet(f"{self.path(layer, name)}/{segment}")
+        writer.option("compression", COMPRESSION).parquet(f"{self.path(layer, name)}/{segment}")
         return segment
 
     def exists(self, layer: str, name: str) -> bool:

@@ -238,3 +238,12 @@ def test_a_part_lands_in_as_many_files_as_tasks(spark):
         (rows.count(), rows.rdd.getNumPartitions())), f"{at.root}/checkpoint")
     assert sum(n for n, _ in batches) == 1000 and len(batches) == 2
     assert all(len(spark.read.parquet(at.folder).inputFiles()) == 2 * width for _ in batches)
+
+
+def test_hash_keys_are_stored_in_half_their_digits(spark, tmp_path):
+    rows = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("hk_student"))
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.append(rows, "dv", "keys")
+    stored = sum(f.stat().st_size for f in (tmp_path / "wh").rglob("*.parquet"))
+    assert stored < 20_000 * 40
+    assert wh.read("dv", "keys").distinct().count() == 20_000
